@@ -1,4 +1,4 @@
-"""Two-sided p-value of Student's t as a Column expression.
+"""Two-sided p-value of Student's t as a Spark SQL expression.
 
 p = I_x(df/2, 1/2) with x = df / (df + t^2), the regularised incomplete beta
 function, from its continued fraction (Abramowitz & Stegun 26.5.8). The fraction
@@ -8,66 +8,66 @@ mirrored form 1 - I_{1-x}(1/2, df/2) is evaluated instead.
 
 from __future__ import annotations
 
-from functools import reduce
-from math import pi, sqrt
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _FRACTION_DEPTH = 240
 _SHIFT = 16
 
 # Asymptotic series of ln(gamma(z + 1/2) / gamma(z)) - ln(z)/2, as
-# coefficients of 1/z, 1/z^3, 1/z^5, 1/z^7, 1/z^9.
-_HALF_STEP_SERIES = (-1 / 8, 1 / 192, -1 / 640, 17 / 14336, -31 / 18432)
+# the terms in 1/z, 1/z^3, 1/z^5, 1/z^7, 1/z^9.
+_HALF_STEP_SERIES = (
+    "-1D/(8*{z}) + 1D/(192*pow({z},3)) - 1D/(640*pow({z},5))"
+    " + 17D/(14336*pow({z},7)) - 31D/(18432*pow({z},9))"
+)
 
 
-def _gamma_half_step(a: Column) -> Column:
-    """gamma(a + 1/2) / gamma(a); the series is used only where it is accurate."""
-    z = a + _SHIFT
-    tail = sum(c / F.pow(z, F.lit(2.0 * i + 1)) for i, c in enumerate(_HALF_STEP_SERIES))
-    shift = reduce(lambda p, k: p * (a + k) / (a + k + 0.5), range(_SHIFT), F.lit(1.0))
-    return shift * F.sqrt(z) * F.exp(tail)
+def _bound(values: str, name: str, body: str) -> str:
+    """``body`` with ``values`` computed once, wherever the optimizer moves it."""
+    return f"transform(array(named_struct({values})), {name} -> {body})[0]"
 
 
-def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
-    """1 + d1/(1 + d2/(1 + ...)) evaluated from its far end."""
+def _gamma_half_step(a: str) -> str:
+    """gamma(a + 1/2) / gamma(a); the series is used only where it is accurate."""
+    shift = " * ".join(f"(({a} + {k}) / ({a} + {k}.5))" for k in range(_SHIFT))
+    z = f"({a} + {_SHIFT})"
+    return f"{shift} * sqrt{z} * exp({_HALF_STEP_SERIES.format(z=z)})"
 
-    def step(inner: Column, k: Column) -> Column:
-        m = F.floor(k / 2).cast("double")
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        return 1.0 + F.when(k % 2 == 0, even).otherwise(odd) / inner
 
-    levels = F.sequence(F.lit(_FRACTION_DEPTH), F.lit(1), F.lit(-1))
-    return F.aggregate(levels, F.lit(1.0), step)
+def _beta_fraction(a: str, b: str, x: str) -> str:
+    """1 + d1/(1 + d2/(1 + ...)) evaluated from its far end; level k has m = k div 2."""
+    even = f"k.m * ({b} - k.m) * {x} / (({a} + 2*k.m - 1) * ({a} + 2*k.m))"
+    odd = f"-({a} + k.m) * ({a} + {b} + k.m) * {x} / (({a} + 2*k.m) * ({a} + 2*k.m + 1))"
+    levels = (
+        f"transform(sequence({_FRACTION_DEPTH}, 1, -1),"
+        " i -> named_struct('m', cast(i div 2 as double), 'even', i % 2 = 0))"
+    )
+    return f"aggregate({levels}, 1D, (f, k) -> 1D + if(k.even, {even}, {odd}) / f)"
 
 
-def with_t_pvalue(frame: DataFrame, t: str, df: str, name: str) -> DataFrame:
-    """Add the two-sided p-value of ``t`` with ``df`` degrees of freedom; null in, null out.
+def t_pvalue(t: str, df: str) -> Column:
+    """Two-sided p-value of ``t`` with ``df`` degrees of freedom (SQL expressions).
 
-    Meant for result frames (one row per comparison). Intermediate values are bound as
-    columns so that the fraction does not repeat them at every level.
+    Null where either is null. Meant for result frames, one row per comparison.
     """
-    t2 = F.col(t) * F.col(t)
-    half = F.col(df) / 2
-    mirrored = t2 * (half + 2.5) < 1.5 * (F.col(df) + t2)
-    bound = frame.withColumns(
-        {
-            "_mirrored": mirrored,
-            "_a": F.when(mirrored, F.lit(0.5)).otherwise(half),
-            "_b": F.when(mirrored, half).otherwise(F.lit(0.5)),
-            "_x": F.when(mirrored, t2).otherwise(F.col(df)) / (F.col(df) + t2),
-            "_weight": _gamma_half_step(half) / sqrt(pi)
-            * F.exp(-half * F.log1p(t2 / F.col(df)))
-            * F.sqrt(t2 / (F.col(df) + t2)),
-        }
+    integral = f"p.weight / (p.a * {_beta_fraction('p.a', 'p.b', 'p.x')})"
+    from_parts = _bound(
+        "'mirrored', v.mirrored, 'a', if(v.mirrored, 0.5D, v.half),"
+        " 'b', if(v.mirrored, v.half, 0.5D),"
+        " 'x', if(v.mirrored, v.t2, 2 * v.half) / (2 * v.half + v.t2),"
+        f" 'weight', {_gamma_half_step('v.half')} / sqrt(pi())"
+        " * exp(-v.half * log1p(v.t2 / (2 * v.half))) * sqrt(v.t2 / (2 * v.half + v.t2))",
+        "p",
+        f"if(p.mirrored, 1D - {integral}, {integral})",
     )
-    usable = F.col("_x").isNotNull() & (F.col(df) > 0)
-    integral = F.col("_weight") / (
-        F.col("_a") * _beta_fraction(F.col("_a"), F.col("_b"), F.col("_x"))
+    mirrored = "u.t2 * (u.half + 2.5D) < 1.5D * (2 * u.half + u.t2)"
+    from_square = _bound(
+        f"'t2', u.t2, 'half', u.half, 'mirrored', {mirrored}", "v", from_parts
     )
-    p = F.when(
-        usable, F.when(F.col("_mirrored"), 1.0 - integral).otherwise(integral)
+    return F.expr(
+        _bound(
+            f"'t2', ({t}) * ({t}), 'half', ({df}) / 2D",
+            "u",
+            f"if(u.t2 is not null and u.half > 0, {from_square}, null)",
+        )
     )
-    return bound.withColumn(name, p).drop("_mirrored", "_a", "_b", "_x", "_weight")

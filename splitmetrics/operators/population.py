@@ -29,7 +29,7 @@ def traffic(visitors: DataFrame) -> DataFrame:
         .groupBy(*CELL_COLUMNS, "is_hopper", "exposed_to_test", "touch_date")
         .agg(
             F.count("*").alias("visitors"),
-            count_true(F.col("visitor_id") > 0).alias("valid_visitors"),
+            count_true("visitor_id > 0").alias("valid_visitors"),
         )
     )
 
@@ -136,22 +136,19 @@ class Population:
 
         A visitor with several totals takes several rows, as in the join itself.
         """
-        valid = F.col("visitor_id") > 0
         extra = self.ordering(grain).groupBy("test_sub_id", *keys).agg(
-            (F.count("*") - count_true(F.col("is_visitor_row"))).alias("_extra"),
-            (count_true(valid) - count_true(valid & F.col("is_visitor_row"))).alias("_extra_valid"),
+            count_true("not is_visitor_row").alias("_extra"),
+            count_true("not is_visitor_row and visitor_id > 0").alias("_extra_valid"),
             F.count("order_count").alias("_orderers"),
         )
-        none = F.lit(0)
         return (
             self.counts(*keys)
             .join(extra, ["test_sub_id", *keys], "left")
-            .withColumns(
-                {
-                    "visitors": F.col("visitors") + F.coalesce("_extra", none),
-                    "valid_visitors": F.col("valid_visitors") + F.coalesce("_extra_valid", none),
-                    "orderers": F.coalesce("_orderers", none),
-                }
+            .selectExpr(
+                "test_sub_id",
+                *keys,
+                "visitors + coalesce(_extra, 0) as visitors",
+                "valid_visitors + coalesce(_extra_valid, 0) as valid_visitors",
+                "coalesce(_orderers, 0) as orderers",
             )
-            .drop("_extra", "_extra_valid", "_orderers")
         )

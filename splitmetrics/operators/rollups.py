@@ -58,16 +58,18 @@ def order_profile(orders: DataFrame) -> DataFrame:
     then, and all the windows run on one sort of one shuffle.
     """
     others = [key for key in CELL_KEYS if key != "visitor_id"]
-    in_visitor = Window.partitionBy("visitor_id")
-    in_cell = Window.partitionBy("visitor_id", *others)
+    windows = {
+        "visitor": Window.partitionBy("visitor_id").orderBy(*others, "touch_date"),
+        "cell": Window.partitionBy("visitor_id", *others).orderBy("touch_date"),
+    }
     totals = {}
-    for grain, window in (("visitor", in_visitor), ("cell", in_cell)):
-        order = [*others, "touch_date"] if grain == "visitor" else ["touch_date"]
+    for grain, window in windows.items():
+        whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         totals |= {
-            f"{grain}_order_count": max_strict("order_count", window),
-            f"{grain}_booking_usd": sum_strict("booking_usd", window),
-            f"{grain}_gm_usd": sum_strict("gm_usd", window),
-            f"is_{grain}_row": F.row_number().over(window.orderBy(*order)) == 1,
+            f"{grain}_order_count": max_strict("order_count", whole),
+            f"{grain}_booking_usd": sum_strict("booking_usd", whole),
+            f"{grain}_gm_usd": sum_strict("gm_usd", whole),
+            f"is_{grain}_row": F.row_number().over(window) == 1,
         }
     return (
         touch_totals(orders)

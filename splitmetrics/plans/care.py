@@ -21,24 +21,24 @@ def _against_control(
     """Pooled two-proportion z (control - test) of ``hits`` out of ``shopper_ct``."""
     rated = rates.withColumn(rate, F.try_divide(hits, "shopper_ct"))
     values = ("test_sub_name", "shopper_ct", hits, *extra, rate)
-    paired = beside_control(rated, (), values, config.control_id)
-    control_n, control_hits = F.col("c_shopper_ct"), F.col(f"c_{hits}")
-    n, test_hits = F.col("t_shopper_ct"), F.col(f"t_{hits}")
     return (
-        paired.withColumn("combined_var", sig.pooled_share(control_hits, control_n, test_hits, n))
-        .withColumn("SE", sig.pooled_error(F.col("combined_var"), control_n, n))
-        .withColumn("zvalue", F.try_divide(F.col(f"c_{rate}") - F.col(f"t_{rate}"), F.col("SE")))
-        .select(
-            F.col("t_test_sub_name").alias("test_sub_name"),
-            F.col("t_id").alias("test_sub_id"),
-            *[F.col(f"t_{v}").alias(v) for v in ("shopper_ct", hits, *extra, rate)],
-            *[F.col(f"c_{v}").alias(f"control_{v}") for v in ("shopper_ct", hits, rate)],
-            F.col("c_test_sub_name").alias("control_name"),
+        beside_control(rated, (), values, config.control_id)
+        .withColumn("combined_var", sig.pooled_share(hits, "shopper_ct"))
+        .withColumn("SE", sig.pooled_error("combined_var", "shopper_ct"))
+        .withColumn("zvalue", F.expr(f"try_divide(c_{rate} - t_{rate}, SE)"))
+        .withColumn("significance", sig.care_label("zvalue", config.z_bound))
+        .withColumn("relative_diff", sig.relative_change(f"t_{rate}", f"c_{rate}"))
+        .selectExpr(
+            "t_test_sub_name as test_sub_name",
+            "t_id as test_sub_id",
+            *[f"t_{v} as {v}" for v in ("shopper_ct", hits, *extra, rate)],
+            *[f"c_{v} as control_{v}" for v in ("shopper_ct", hits, rate)],
+            "c_test_sub_name as control_name",
             "combined_var",
             "SE",
             "zvalue",
-            sig.care_label(F.col("zvalue"), config.z_bound).alias("significance"),
-            sig.relative_change(F.col(f"t_{rate}"), F.col(f"c_{rate}")).alias("relative_diff"),
+            "significance",
+            "relative_diff",
         )
     )
 
@@ -63,7 +63,7 @@ def credit_rate(
         .groupBy(*_CELL)
         .agg(
             F.count("*").alias("shopper_ct"),
-            count_true(F.col("credited")).alias("shopper_ct_credited"),
+            count_true("credited").alias("shopper_ct_credited"),
         )
     )
     return _against_control(rates, "shopper_ct_credited", "credit_rate", (), config)

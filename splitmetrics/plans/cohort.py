@@ -36,13 +36,10 @@ _KEYS = ("cohort", "dimension", "test_sub_id")
 
 def by_dimension(rows: DataFrame, names: tuple[str, ...], *kept: str) -> DataFrame:
     """Each row once per dimension, as (cohort, dimension value); narrow, and not shuffled."""
-    entries = F.array(
-        *[
-            F.struct(F.lit(name).alias("cohort"), F.col(name).cast("string").alias("dimension"))
-            for name in names
-        ]
+    entries = ", ".join(
+        f"named_struct('cohort', '{name}', 'dimension', cast({name} as string))" for name in names
     )
-    return rows.select(*kept, F.inline(entries))
+    return rows.selectExpr(*kept, f"inline(array({entries}))")
 
 
 def cohort_arms(population: Population) -> DataFrame:
@@ -61,7 +58,7 @@ def cohort_arms(population: Population) -> DataFrame:
         .groupBy(*_KEYS)
         .agg(
             F.count("*").alias("visitors"),
-            count_true(F.col("visitor_id") > 0).alias("count"),
+            count_true("visitor_id > 0").alias("count"),
         )
     )
     measures = ("test_sub_id", "order_count", "booking_usd", "gm_usd")
@@ -72,11 +69,11 @@ def cohort_arms(population: Population) -> DataFrame:
         .groupBy(*_KEYS)
         .agg(
             F.count("order_count").alias("orderers"),
-            count_true(F.col("order_count") > 0).alias("ordering_visitor_count"),
+            count_true("order_count > 0").alias("ordering_visitor_count"),
             F.sum("gm_usd").alias("gm"),
             F.sum("booking_usd").alias("bookings"),
-            *moments(F.col("gm_usd"), "gm"),
-            *moments(F.col("booking_usd"), "bookings"),
+            *moments("gm_usd", "gm"),
+            *moments("booking_usd", "bookings"),
         )
         .withColumnsRenamed({"cohort": "_cohort", "dimension": "_dimension", "test_sub_id": "_cell"})
     )
@@ -85,21 +82,18 @@ def cohort_arms(population: Population) -> DataFrame:
         & F.col("dimension").eqNullSafe(F.col("_dimension"))
         & (F.col("test_sub_id") == F.col("_cell"))
     )
-    share, share_var = share_and_variance(F.col("orderers"), F.col("visitors"))
-    return visitors.join(bought, same, "left").select(
+    share, share_var = share_and_variance("coalesce(orderers, 0)", "visitors")
+    return visitors.join(bought, same, "left").selectExpr(
         *_KEYS,
         "visitors",
         "count",
-        F.coalesce("ordering_visitor_count", F.lit(0)).alias("ordering_visitor_count"),
-        F.coalesce("gm", F.lit(0.0)).alias("gm"),
-        F.coalesce("bookings", F.lit(0.0)).alias("bookings"),
-        share.alias("share"),
-        share_var.alias("share_var"),
-        *[F.col(f"{m}_{part}") for m in ("gm", "bookings") for part in ("n", "mean")],
-        *[
-            sample_variance(F.col(f"{m}_n"), F.col(f"{m}_m2")).alias(f"{m}_var")
-            for m in ("gm", "bookings")
-        ],
+        "coalesce(ordering_visitor_count, 0) as ordering_visitor_count",
+        "coalesce(gm, 0) as gm",
+        "coalesce(bookings, 0) as bookings",
+        f"{share} as share",
+        f"{share_var} as share_var",
+        *[f"{m}_{part}" for m in ("gm", "bookings") for part in ("n", "mean")],
+        *[f"{sample_variance(f'{m}_n', f'{m}_m2')} as {m}_var" for m in ("gm", "bookings")],
     )
 
 
@@ -122,29 +116,20 @@ def cohort_summary(population: Population) -> DataFrame:
             for name in ("count", "ordering_visitor_count", "gm", "bookings")
         ],
     )
-    enough = F.lit(True)
-    for side in "ct":
-        enough = (
-            enough
-            & (F.col(f"{side}_count") > MIN_VISITORS)
-            & (F.col(f"{side}_ordering_visitor_count") > MIN_ORDERERS)
-        )
-    tests = {
+    enough = " and ".join(
+        f"{side}_count > {MIN_VISITORS} and {side}_ordering_visitor_count > {MIN_ORDERERS}"
+        for side in "ct"
+    )
+    for name, arm in {
         "gm_buyer": ("gm_n", "gm_mean", "gm_var"),
         "bookings_buyer": ("bookings_n", "bookings_mean", "bookings_var"),
         "cr": ("visitors", "share", "share_var"),
-    }
-    for name, arm in tests.items():
+    }.items():
         paired = sig.with_welch(
-            paired,
-            tuple(f"c_{part}" for part in arm),
-            tuple(f"t_{part}" for part in arm),
-            f"z_score_{name}",
-            f"pvalue_{name}",
-            when=enough,
+            paired, *arm, z=f"z_score_{name}", p=f"pvalue_{name}", when=enough
         )
     rates = {
-        f"{side}_{rate}": F.try_divide(F.col(f"{side}_{top}"), F.col(f"{side}_{bottom}"))
+        f"{side}_{rate}": F.try_divide(f"{side}_{top}", f"{side}_{bottom}")
         for side in "ct"
         for rate, top, bottom in (
             ("cr", "ordering_visitor_count", "count"),
@@ -152,20 +137,13 @@ def cohort_summary(population: Population) -> DataFrame:
             ("gm_buyer", "gm", "ordering_visitor_count"),
         )
     }
-
-    def difference(rate: str):
-        control, test = F.col(f"c_{rate}"), F.col(f"t_{rate}")
-        return F.when(control == 0, 0.0).otherwise(sig.relative_change(test, control))
-
-    return (
-        paired.withColumns(rates)
-        .withColumns(
-            {
-                "exp_name": F.col("c_test_name"),
-                "c_name": F.col("c_test_sub_name"),
-                "t_name": F.col("t_test_sub_name"),
-                **{f"{rate}_diff": difference(rate) for rate in ("bookings_buyer", "gm_buyer", "cr")},
-            }
-        )
-        .select(*COLUMNS)
-    )
+    differences = {
+        f"{rate}_diff": F.expr(f"if(c_{rate} = 0, 0D, try_divide(t_{rate} - c_{rate}, c_{rate}))")
+        for rate in ("bookings_buyer", "gm_buyer", "cr")
+    }
+    labels = {
+        "exp_name": F.col("c_test_name"),
+        "c_name": F.col("c_test_sub_name"),
+        "t_name": F.col("t_test_sub_name"),
+    }
+    return paired.withColumns(rates).withColumns(differences | labels).select(*COLUMNS)

@@ -102,21 +102,19 @@ def dimension_share(counts: DataFrame, traffic_counts: DataFrame) -> DataFrame:
         .withColumn("cent", _share(F.col("no_visitors"), traffic_counts))
     )
     place = Window.partitionBy("dimension").orderBy(F.desc("cent"), "combined_name")
-    entry = F.struct("dimension", "size")
-    sizes = (
-        counts.select("dimension", "combined_name", "value")
-        .distinct()
-        .groupBy("dimension")
+    before = Window.orderBy("dimension").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        values.groupBy("dimension")
         .agg(F.count("*").alias("size"))
-        .agg(F.collect_list(entry))
-        .scalar()
+        .select("dimension", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
     )
-    earlier = F.aggregate(
-        F.filter(sizes, lambda other: other["dimension"] < F.col("dimension")),
-        F.lit(0).cast("long"),
-        lambda total, other: total + other["size"],
+    return (
+        values.withColumn("place", F.row_number().over(place))
+        .join(offsets, "dimension")
+        .withColumn("index", F.col("place") + F.col("offset"))
+        .drop("place", "offset")
+        .orderBy("index")
     )
-    return values.withColumn("index", F.row_number().over(place) + earlier).orderBy("index")
 
 
 def evenness(counts: DataFrame, traffic_counts: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def cohort_report(cohorts: DataFrame) -> DataFrame:
     """Dimension values that were tested, with a bucket for each z."""
     return cohorts.where(F.col("pvalue_cr").isNotNull()).withColumns(
         {
-            f"{metric}_chart_value": z_bucket(F.col(f"z_score_{metric}"))
+            f"{metric}_chart_value": z_bucket(f"z_score_{metric}")
             for metric in ("bookings_buyer", "gm_buyer", "cr")
         }
     )

@@ -22,14 +22,14 @@ DAILY_COLUMNS = (
 def daily_conversion(population: Population) -> DataFrame:
     """Conversion of each touch date's visitors, per test cell, with a Welch test."""
     counts = population.joined_counts("cell", "touch_date")
-    share, variance = share_and_variance(F.col("orderers"), F.col("visitors"))
-    arms = counts.select(
+    share, variance = share_and_variance("orderers", "visitors")
+    arms = counts.selectExpr(
         "touch_date",
         "test_sub_id",
-        F.col("valid_visitors").alias("denominator_count"),
-        F.col("visitors").alias("n"),
-        share.alias("value"),
-        variance.alias("var"),
+        "valid_visitors as denominator_count",
+        "visitors as n",
+        f"{share} as value",
+        f"{variance} as var",
     )
     paired = every_cell_beside_control(
         arms,
@@ -40,14 +40,14 @@ def daily_conversion(population: Population) -> DataFrame:
         population.config.control_id,
     ).fillna(0, ["c_denominator_count", "t_denominator_count"])
     return (
-        sig.with_welch(paired, ("c_n", "c_value", "c_var"), ("t_n", "t_value", "t_var"))
+        sig.with_welch(paired)
         .withColumns(
             {
                 "exp_name": F.col("c_test_name"),
                 "c_name": F.col("c_test_sub_name"),
                 "t_name": F.col("t_test_sub_name"),
-                "significant": sig.significance_flag(F.col("z_score")),
-                "per_change": sig.relative_change(F.col("t_value"), F.col("c_value")),
+                "significant": sig.significance_flag("z_score"),
+                "per_change": sig.relative_change("t_value", "c_value"),
             }
         )
         .select(*DAILY_COLUMNS)
@@ -104,24 +104,25 @@ def cumulative_conversion(population: Population) -> DataFrame:
         ("test_sub_name", "cum_visitor", "cum_buyers", "CR"),
         population.config.control_id,
     ).where(F.col("c_CR").isNotNull())
-    control, test = F.col("c_CR"), F.col("t_CR")
-    sd = sig.unpooled_error(control, F.col("c_cum_visitor"), test, F.col("t_cum_visitor"))
     return (
-        paired.withColumn("sd", sd)
-        .withColumn("zscore", F.try_divide(test - control, F.col("sd")))
-        .select(
-            F.col("date").alias("dateVariable"),
-            F.col("c_cum_visitor").alias("cum_visitor_ctrl"),
-            F.col("c_cum_buyers").alias("cum_buyers_ctrl"),
-            control.alias("CR_ctrl"),
-            F.col("t_test_sub_name").alias("test_sub_name"),
-            F.col("t_cum_visitor").alias("cum_visitor_test"),
-            F.col("t_cum_buyers").alias("cum_buyers_test"),
-            test.alias("CR_test"),
-            sig.relative_change(test, control).alias("perc_lift"),
+        paired.withColumn("sd", sig.unpooled_error("CR", "cum_visitor"))
+        .withColumn("zscore", F.expr("try_divide(t_CR - c_CR, sd)"))
+        .withColumn("perc_lift", sig.relative_change("t_CR", "c_CR"))
+        .withColumn("sensitivity", F.expr(f"try_divide({sig.TWO_TAIL_BOUNDS[95]}D * sd, c_CR)"))
+        .withColumn("significant", sig.significance_flag("zscore"))
+        .selectExpr(
+            "date as dateVariable",
+            "c_cum_visitor as cum_visitor_ctrl",
+            "c_cum_buyers as cum_buyers_ctrl",
+            "c_CR as CR_ctrl",
+            "t_test_sub_name as test_sub_name",
+            "t_cum_visitor as cum_visitor_test",
+            "t_cum_buyers as cum_buyers_test",
+            "t_CR as CR_test",
+            "perc_lift",
             "sd",
-            F.try_divide(sig.TWO_TAIL_BOUNDS[95] * F.col("sd"), control).alias("sensitivity"),
+            "sensitivity",
             "zscore",
-            sig.significance_flag(F.col("zscore")).alias("significant"),
+            "significant",
         )
     )

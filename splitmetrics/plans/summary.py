@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splitmetrics.config import METRICS
@@ -28,55 +28,47 @@ def cell_metrics(population: Population) -> DataFrame:
     Missing money counts as zero here. Per-visitor metrics take in the visitors without
     orders as that many zeros.
     """
-    booking = F.coalesce("booking_usd", F.lit(0.0))
-    gm = F.coalesce("gm_usd", F.lit(0.0))
-    ordered = F.col("order_count").isNotNull()
+    ordered = "if(order_count is not null, {}, null)"
     bought = (
         capped_ordering(population, include_alternate=False)
+        .fillna(0.0, ["booking_usd", "gm_usd"])
         .groupBy("test_sub_id")
         .agg(
-            F.count("order_count").alias("orderers"),
-            *moments(F.when(ordered, booking), "buyer_booking"),
-            *moments(F.when(ordered, gm), "buyer_gm"),
-            *moments(booking, "any_booking"),
-            *moments(gm, "any_gm"),
+            F.count("order_count").alias("found_orderers"),
+            *moments(ordered.format("booking_usd"), "buyer_booking"),
+            *moments(ordered.format("gm_usd"), "buyer_gm"),
+            *moments("booking_usd", "any_booking"),
+            *moments("gm_usd", "any_gm"),
         )
     )
-    cells = population.counts().join(bought, "test_sub_id", "left")
-
-    visitors, orderers = F.col("visitors"), F.coalesce("orderers", F.lit(0))
-
-    def per_buyer(prefix: str) -> tuple[Column, Column]:
-        variance = sample_variance(F.col(f"{prefix}_n"), F.col(f"{prefix}_m2"))
-        return F.col(f"{prefix}_mean"), variance
+    cells = (
+        population.counts()
+        .join(bought, "test_sub_id", "left")
+        .withColumn("orderers", F.expr("coalesce(found_orderers, 0)"))
+    )
 
-    def per_visitor(prefix: str) -> tuple[Column, Column]:
-        return with_zeros(*[F.col(f"{prefix}_{part}") for part in ("n", "mean", "m2")], visitors)
+    def per_buyer(prefix: str) -> tuple[str, str]:
+        return f"{prefix}_mean", sample_variance(f"{prefix}_n", f"{prefix}_m2")
 
     figures = {
-        "CR": (F.col("valid_visitors"), visitors, *share_and_variance(orderers, visitors)),
-        "booking_per_buyer": (orderers, orderers, *per_buyer("buyer_booking")),
-        "gm_per_buyer": (orderers, orderers, *per_buyer("buyer_gm")),
-        "booking_per_visitor": (visitors, visitors, *per_visitor("any_booking")),
-        "gm_per_visitor": (visitors, visitors, *per_visitor("any_gm")),
+        "CR": ("valid_visitors", "visitors", *share_and_variance("orderers", "visitors")),
+        "booking_per_buyer": ("orderers", "orderers", *per_buyer("buyer_booking")),
+        "gm_per_buyer": ("orderers", "orderers", *per_buyer("buyer_gm")),
+        "booking_per_visitor": ("visitors", "visitors", *with_zeros("any_booking", "visitors")),
+        "gm_per_visitor": ("visitors", "visitors", *with_zeros("any_gm", "visitors")),
     }
     entries = []
     for metric in METRICS:
         denominator, counted, mean, variance = figures[metric]
         tail = population.config.tail(metric)
         entries.append(
-            F.struct(
-                F.lit(metric).alias("metric"),
-                F.lit(sig.TAIL_LABELS[tail]).alias("tail"),
-                F.lit(2 if tail == 0 else 1).alias("tail_type"),
-                denominator.alias("denominator_count"),
-                counted.alias("n"),
-                mean.alias("value"),
-                variance.alias("var"),
-            )
+            f"named_struct('metric', '{metric}', 'tail', '{sig.TAIL_LABELS[tail]}',"
+            f" 'tail_type', {2 if tail == 0 else 1}, 'denominator_count', {denominator},"
+            f" 'n', {counted}, 'value', {mean}, 'var', {variance})"
         )
-    labels = ("test_sub_id", "test_name", "test_sub_name")
-    return cells.select(*labels, F.inline(F.array(*entries)))
+    return cells.selectExpr(
+        "test_sub_id", "test_name", "test_sub_name", f"inline(array({', '.join(entries)}))"
+    )
 
 
 def summary(population: Population) -> DataFrame:
@@ -85,36 +77,32 @@ def summary(population: Population) -> DataFrame:
     paired = beside_control(
         cell_metrics(population), ("metric", "tail", "tail_type"), values, population.config.control_id
     )
-    tested = sig.with_welch(
-        paired, ("c_n", "c_value", "c_var"), ("t_n", "t_value", "t_var")
-    ).withColumn(
+    tested = sig.with_welch(paired).withColumn(
         "sd",
-        F.sqrt(
-            F.try_divide("t_var", "t_denominator_count")
-            + F.try_divide("c_var", "c_denominator_count")
+        F.expr(
+            "sqrt(try_divide(t_var, t_denominator_count) + try_divide(c_var, c_denominator_count))"
         ),
     )
-    c, t, sd, tails = (F.col(name) for name in ("c_value", "t_value", "sd", "tail_type"))
     limits = {
-        f"{name}{level}": sig.confidence_limit(c, t, sd, tails, level, side)
-        for name, side in (("low", -1), ("high", 1))
+        f"{name}{level}": sig.confidence_limit("c_value", "t_value", "sd", "tail_type", level, side)
+        for name, side in (("low", "-"), ("high", "+"))
         for level in (95, 90, 80)
     }
-    is_rate = F.col("metric") == "CR"
-    return (
-        tested.withColumns(
-            {
-                **limits,
-                "exp_name": F.col("c_test_name"),
-                "c_name": F.col("c_test_sub_name"),
-                "t_name": F.col("t_test_sub_name"),
-                "relative_diff": sig.relative_change(t, c),
-                "significance": sig.tail_label(F.col("z_score"), F.col("tail")),
-                "chart_value": sig.chart_code(F.col("z_score"), F.col("tail")),
-                "sensitivity": F.try_divide(sig.bound(tails, 95) * sd, c),
-            }
-        )
-        # Rates are shown in percent; everything relative was derived before.
-        .withColumns({v: F.when(is_rate, F.col(v) * 100).otherwise(F.col(v)) for v in ("c_value", "t_value")})
-        .select(*COLUMNS)
+    derived = tested.withColumns(
+        {
+            **limits,
+            "exp_name": F.col("c_test_name"),
+            "c_name": F.col("c_test_sub_name"),
+            "t_name": F.col("t_test_sub_name"),
+            "relative_diff": sig.relative_change("t_value", "c_value"),
+            "significance": sig.tail_label("z_score", "tail"),
+            "chart_value": sig.chart_code("z_score", "tail"),
+            "sensitivity": F.expr(f"try_divide({sig.bound('tail_type', 95)} * sd, c_value)"),
+        }
     )
+    # Rates are shown in percent; everything relative was derived before.
+    in_percent = {
+        value: F.expr(f"if(metric = 'CR', {value} * 100, {value})")
+        for value in ("c_value", "t_value")
+    }
+    return derived.withColumns(in_percent).select(*COLUMNS)

@@ -7,13 +7,10 @@ the intervals below c as they are and turns everything above into copies of c.
 
 from __future__ import annotations
 
-from functools import reduce
-from math import inf
-from operator import add
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from splitmetrics.functions import significance as sig
 from splitmetrics.functions.moments import count_true, moments, sample_variance
@@ -49,7 +46,7 @@ def booking_histogram(population: Population) -> DataFrame:
     return (
         buyers(population)
         .groupBy(bucket, "test_sub_name")
-        .agg(count_true(F.col("visitor_id") > 0).alias("no_of_ordering_visitors"))
+        .agg(count_true("visitor_id > 0").alias("no_of_ordering_visitors"))
     )
 
 
@@ -65,80 +62,76 @@ def gm_low_curve(population: Population) -> DataFrame:
     return curve.select(F.inline(points))
 
 
-def _interval_stats(rows: DataFrame, value: Column, caps: list[float]) -> DataFrame:
+def _interval_stats(rows: DataFrame, value: str, caps: list[float]) -> DataFrame:
     """Per cell and interval between caps: rows, moments, and values equal to the upper cap.
 
     Interval i holds the values above exactly i caps; a missing value has none.
     """
-    placed = rows.select(
-        "test_sub_id",
-        "test_name",
-        "test_sub_name",
-        value.alias("value"),
-        reduce(add, [(value > cap).cast("int") for cap in caps]).alias("interval"),
-    )
-    at_cap = F.col("value") == F.get(F.lit(caps), F.col("interval"))
-    return placed.groupBy("test_sub_id", "interval").agg(
-        F.min("test_name").alias("test_name"),
-        F.min("test_sub_name").alias("test_sub_name"),
-        F.count("*").alias("rows"),
-        *moments(F.col("value"), "value"),
-        count_true(at_cap).alias("at_cap"),
+    above = " + ".join(f"int(value > {cap!r}D)" for cap in caps)
+    at_cap = f"value = get({_sql_array(caps)}, interval)"
+    return (
+        rows.selectExpr("test_sub_id", "test_name", "test_sub_name", f"{value} as value")
+        .withColumn("interval", F.expr(above))
+        .groupBy("test_sub_id", "interval")
+        .agg(
+            F.min("test_name").alias("test_name"),
+            F.min("test_sub_name").alias("test_sub_name"),
+            F.count("*").alias("rows"),
+            *moments("value", "value"),
+            count_true(at_cap).alias("at_cap"),
+        )
     )
 
 
+def _sql_array(numbers: Sequence[float]) -> str:
+    return "array(" + ", ".join(f"{number!r}D" for number in numbers) + ")"
+
+
 def _capped_stats(intervals: DataFrame, caps: list[float]) -> DataFrame:
     """Mean, variance and capped rows of every cell at every cut-off."""
-    cutoffs = F.array(
-        *[
-            F.struct(F.lit(i).alias("pos"), F.lit(level).alias("level"), F.lit(cap).alias("cap"))
-            for i, (level, cap) in enumerate(zip(CUTOFFS, caps, strict=True))
-        ]
-    )
-    spread = intervals.select("*", F.inline(cutoffs))
-    cap, n = F.col("cap"), F.col("value_n")
-    over = F.col("interval") > F.col("pos")
-    group = ("test_sub_id", "pos")
-    own_mean = F.when(over, cap).otherwise(F.col("value_mean"))
-    own_m2 = F.when(over, 0.0).otherwise(F.coalesce("value_m2", F.lit(0.0)))
-    everywhere = Window.partitionBy(*group)
-    spread = spread.select(
-        *group,
-        "test_name",
-        "test_sub_name",
-        "level",
-        cap.alias("cap"),
-        "rows",
-        n.alias("n"),
-        own_mean.alias("own_mean"),
-        own_m2.alias("own_m2"),
-        F.when(over, F.col("rows"))
-        .when(F.get(F.lit(caps), F.col("interval")) == cap, F.col("at_cap"))
-        .otherwise(0)
-        .alias("flattened"),
-    ).withColumn(
-        "mean",
-        F.try_divide(F.sum(F.col("n") * F.col("own_mean")).over(everywhere), F.sum("n").over(everywhere)),
+    cutoffs = f"arrays_zip({_sql_array(CUTOFFS)}, {_sql_array(caps)})"
+    at_cutoff = (
+        intervals.selectExpr("*", f"posexplode({cutoffs}) as (pos, cutoff)")
+        .selectExpr("*", "cutoff['0'] as level", "cutoff['1'] as cap", "interval > pos as over")
+        .selectExpr(
+            "test_sub_id",
+            "pos",
+            "test_name",
+            "test_sub_name",
+            "level",
+            "cap",
+            "rows",
+            "value_n as n",
+            "if(over, cap, value_mean) as own_mean",
+            "if(over, 0D, value_m2) as own_m2",
+            "case when over then rows"
+            f" when get({_sql_array(caps)}, interval) = cap then at_cap else 0 end as flattened",
+        )
+        .withColumn(
+            "mean",
+            F.expr(
+                "try_divide(sum(n * own_mean) over (partition by test_sub_id, pos),"
+                " sum(n) over (partition by test_sub_id, pos))"
+            ),
+        )
     )
-    off = F.col("own_mean") - F.col("mean")
-    complete = F.sum("n") == F.sum("rows")
-    merged = spread.groupBy(*group).agg(
+    merged = at_cutoff.groupBy("test_sub_id", "pos").agg(
         F.min("test_name").alias("test_name"),
         F.min("test_sub_name").alias("test_sub_name"),
-        F.first("level").alias("level"),
-        F.first("cap").alias("cap"),
+        F.min("level").alias("level"),
+        F.min("cap").alias("cap"),
         F.sum("rows").alias("denominator_count"),
         F.sum("n").alias("n"),
         F.max("mean").alias("mean"),
-        F.sum(F.col("own_m2") + F.coalesce(F.col("n") * off * off, F.lit(0.0))).alias("m2"),
+        F.expr("sum(own_m2 + n * pow(own_mean - mean, 2)) as m2"),
         # One buyer without a value leaves the cell's mean and capped count undefined.
-        F.when(complete, F.max("mean")).alias("value"),
-        F.when(complete, F.sum("flattened")).alias("visitors_flattened"),
+        F.expr("if(sum(n) = sum(rows), max(mean), null) as value"),
+        F.expr("if(sum(n) = sum(rows), sum(flattened), null) as visitors_flattened"),
     )
-    return merged.withColumn("var", sample_variance(F.col("n"), F.col("m2")))
+    return merged.withColumn("var", F.expr(sample_variance("n", "m2")))
 
 
-def _sweep(population: Population, metric: str, value: Column, caps: list[float]) -> DataFrame:
+def _sweep(population: Population, metric: str, value: str, caps: list[float]) -> DataFrame:
     stats = _capped_stats(_interval_stats(buyers(population), value, caps), caps)
     paired = beside_control(
         stats,
@@ -156,7 +149,7 @@ def _sweep(population: Population, metric: str, value: Column, caps: list[float]
         population.config.control_id,
     )
     return (
-        sig.with_welch(paired, ("c_n", "c_mean", "c_var"), ("t_n", "t_mean", "t_var"))
+        sig.with_welch(paired, mean="mean")
         .withColumns(
             {
                 "metric": F.lit(metric),
@@ -165,30 +158,30 @@ def _sweep(population: Population, metric: str, value: Column, caps: list[float]
                 "t_name": F.col("t_test_sub_name"),
                 "cutoff_perc_max": F.col("level"),
                 "cutoff_value_max": F.col("cap"),
-                "significant": sig.significance_flag(F.col("z_score")),
-                "per_change": sig.relative_change(F.col("t_value"), F.col("c_value")),
+                "significant": sig.significance_flag("z_score"),
+                "per_change": sig.relative_change("t_value", "c_value"),
             }
         )
         .select(*COLUMNS)
     )
 
 
-def _caps(population: Population, measure: str, levels: list[float]) -> list[float]:
-    """Quantiles of the buyers' totals, as numbers; there is no sweep without buyers."""
+def _caps(population: Population, measure: str, levels: Sequence[float]) -> list[float]:
+    """Quantiles of the buyers' totals, as numbers; without buyers their values do not matter."""
     found = exact_quantiles(
         buyers(population), {measure: levels}, rows=population.order_row_count
     ).first()[measure]
-    return found or [inf] * len(levels)
+    return found or [0.0] * len(levels)
 
 
 def booking_sweep(population: Population) -> DataFrame:
     """Bookings per buyer, capped above at each cut-off."""
     caps = _caps(population, "booking_usd", CUTOFFS)
-    return _sweep(population, "bkg_per_buyer", F.col("booking_usd"), caps)
+    return _sweep(population, "bkg_per_buyer", "booking_usd", caps)
 
 
 def gm_sweep(population: Population) -> DataFrame:
     """Margin per buyer, capped above at each cut-off and below at one fixed level."""
     low, *caps = _caps(population, "gm_usd", [GM_LOW_LEVEL, *CUTOFFS])
-    gm = F.col("gm_usd")
-    return _sweep(population, "gm_per_buyer", F.when(gm < low, low).otherwise(gm), caps)
+    floored = f"if(gm_usd < {low!r}D, {low!r}D, gm_usd)"
+    return _sweep(population, "gm_per_buyer", floored, caps)
