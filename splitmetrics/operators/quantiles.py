@@ -63,7 +63,7 @@ def _from_value_counts(
     )
     distinct = counts.count()
     if distinct <= one_task_rows:
-        return counts.agg(F.percentile("value", points, "copies"))
+        return counts.agg(F.percentile("value", points, F.col("copies")))
     return _select_by_rank(counts, distinct, points)
 
 

@@ -1,0 +1,103 @@
+"""Small input tables, and plain-Python statistics to check results against."""
+
+from datetime import date
+from math import sqrt
+from statistics import mean, variance
+
+from splitmetrics.config import ExperimentConfig
+from splitmetrics.schema import CONTACTS, CREDITS, ORDERS, VISITORS
+
+DAY = date(2024, 1, 1)
+
+
+def config(**changes):
+    defaults = {"test_id": 1, "control_id": 100, "gm_low": 0.0, "gm_high": 1.0, "bookings_high": 1.0}
+    return ExperimentConfig.standalone(**(defaults | changes))
+
+
+def day(n):
+    return date.fromordinal(DAY.toordinal() + n)
+
+
+def visitor(visitor_id, cell=100, touch=0, role=None, **changes):
+    row = {
+        "visitor_id": visitor_id,
+        "test_id": 1,
+        "test_name": "EXP",
+        "test_sub_id": cell,
+        "test_sub_name": f"cell_{cell}",
+        "control_test": role or ("C" if cell == 100 else "T"),
+        "is_hopper": 0,
+        "exposed_to_test": 1,
+        "touch_date": day(touch),
+        "is_new": 1,
+        "region": "EU",
+        "website_country": "DE",
+        "channel_group": "mail",
+        "initial_device_type": "phone",
+        "shopper_key": visitor_id,
+    }
+    return row | changes
+
+
+def order(visitor_id, booking, gm=None, cell=100, touch=0, after=1, count=1, **changes):
+    row = {
+        "visitor_id": visitor_id,
+        "test_id": 1,
+        "test_name": "EXP",
+        "test_sub_id": cell,
+        "test_sub_name": f"cell_{cell}",
+        "control_test": "C" if cell == 100 else "T",
+        "touch_date": day(touch),
+        "order_date": day(touch + after),
+        "days_from_touch": after,
+        "order_count": count,
+        "booking_usd": None if booking is None else float(booking),
+        "gm_usd": None if gm is None else float(gm),
+    }
+    return row | changes
+
+
+def _frame(spark, rows, schema):
+    return spark.createDataFrame([tuple(row[f.name] for f in schema) for row in rows], schema)
+
+
+def visitors(spark, rows):
+    return _frame(spark, rows, VISITORS)
+
+
+def orders(spark, rows):
+    return _frame(spark, rows, ORDERS)
+
+
+def credits(spark, ids):
+    return _frame(spark, [{"visitor_id": i} for i in ids], CREDITS)
+
+
+def contacts(spark, rows):
+    names = CONTACTS.fieldNames()
+    return _frame(spark, [dict(zip(names, row, strict=True)) for row in rows], CONTACTS)
+
+
+def rows_by(frame, *keys):
+    """Rows as dictionaries, by the values of the key columns."""
+    found = {}
+    for row in frame.collect():
+        key = tuple(row[k] for k in keys)
+        key = key[0] if len(key) == 1 else key
+        assert key not in found, key
+        found[key] = row.asDict()
+    return found
+
+
+def quantile(values, level):
+    ordered = sorted(v for v in values if v is not None)
+    position = (len(ordered) - 1) * level
+    low = int(position)
+    high = min(low + 1, len(ordered) - 1)
+    return ordered[low] + (position - low) * (ordered[high] - ordered[low])
+
+
+def welch_z(control, test):
+    error = variance(control) / len(control) + variance(test) / len(test)
+    return (mean(control) - mean(test)) / sqrt(error)

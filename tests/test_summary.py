@@ -1,0 +1,226 @@
+import random
+from math import sqrt
+from statistics import mean, variance
+
+import pytest
+from frames import config, order, orders, quantile, rows_by, visitor, visitors, welch_z
+from pyspark.sql import functions as F
+
+from splitmetrics.functions import significance as sig
+from splitmetrics.operators.caps import cap_thresholds, capped_ordering
+from splitmetrics.operators.population import Population
+from splitmetrics.plans.summary import COLUMNS, summary
+
+
+def made_up(seed=3, cells=(100, 101, 102), size=60):
+    """Visitors of unequal cells, some with several orders, some of them without a value."""
+    numbers = random.Random(seed)
+    people, placed = [], []
+    for cell in cells:
+        for _ in range(size + cell % 7):
+            i = len(people) + 1
+            people.append(visitor(i, cell, touch=numbers.randrange(3)))
+            if numbers.random() < 0.4:
+                n = numbers.choice([1, 1, 2, 3])
+                for _ in range(n):
+                    booking = None if numbers.random() < 0.05 else numbers.uniform(5, 200)
+                    gm = None if booking is None else booking * numbers.uniform(-0.2, 0.6)
+                    placed.append(order(i, booking, gm, cell, count=n, after=numbers.randrange(10)))
+    return people, placed
+
+
+def expected_values(people, placed, settings):
+    """metric -> cell -> values, by going through the definitions row by row."""
+    totals = {}
+    for o in placed:
+        if o["days_from_touch"] <= settings.days_to_consider:
+            totals.setdefault(o["visitor_id"], []).append(o)
+    joined = []
+    for v in people:
+        own = totals.get(v["visitor_id"])
+        sums = {}
+        for measure in ("booking_usd", "gm_usd"):
+            parts = [o[measure] for o in own or []]
+            sums[measure] = None if not parts or None in parts else sum(parts)
+        joined.append((v["test_sub_id"], own is not None, sums["booking_usd"], sums["gm_usd"]))
+    high = quantile([r[2] for r in joined], settings.bookings_high)
+    low_gm = quantile([r[3] for r in joined], settings.gm_low)
+    high_gm = quantile([r[3] for r in joined], settings.gm_high)
+    values = {}
+    for cell, ordered, booking, gm in joined:
+        booking = 0 if booking is None else min(booking, high)
+        gm = 0 if gm is None else max(min(gm, high_gm), low_gm)
+        for metric, value, counted in (
+            ("CR", int(ordered), True),
+            ("booking_per_buyer", booking, ordered),
+            ("gm_per_buyer", gm, ordered),
+            ("booking_per_visitor", booking, True),
+            ("gm_per_visitor", gm, True),
+        ):
+            if counted:
+                values.setdefault(metric, {}).setdefault(cell, []).append(value)
+    return values
+
+
+@pytest.mark.parametrize("levels", [(0.0, 1.0, 1.0), (0.05, 0.9, 0.8)])
+def test_metrics_equal_row_by_row_results(spark, levels):
+    settings = config(gm_low=levels[0], gm_high=levels[1], bookings_high=levels[2])
+    people, placed = made_up()
+    population = Population(visitors(spark, people), orders(spark, placed), settings)
+    found = rows_by(summary(population), "metric", "t_id")
+    assert len(found) == 10
+    for metric, cells in expected_values(people, placed, settings).items():
+        control = cells[100]
+        for cell in (101, 102):
+            row, test = found[metric, cell], cells[cell]
+            scale = 100 if metric == "CR" else 1
+            assert (row["c_denominator_count"], row["t_denominator_count"]) == (len(control), len(test))
+            assert row["c_value"] == pytest.approx(mean(control) * scale)
+            assert row["t_value"] == pytest.approx(mean(test) * scale)
+            assert row["c_var"] == pytest.approx(variance(control))
+            assert row["t_var"] == pytest.approx(variance(test))
+            assert row["z_score"] == pytest.approx(welch_z(control, test))
+            sd = sqrt(variance(control) / len(control) + variance(test) / len(test))
+            assert row["sd"] == pytest.approx(sd)
+            change = (mean(test) - mean(control)) / mean(control)
+            assert row["relative_diff"] == pytest.approx(change)
+            assert row["low95"] == pytest.approx(change - 1.96 * sd / mean(control))
+            assert row["high80"] == pytest.approx(change + 1.2816 * sd / mean(control))
+            assert row["sensitivity"] == pytest.approx(1.96 * sd / mean(control))
+
+
+def test_columns_and_names(spark):
+    people, placed = made_up(size=20)
+    found = summary(Population(visitors(spark, people), orders(spark, placed), config()))
+    assert tuple(found.columns) == COLUMNS
+    assert len(COLUMNS) == 27
+    row = found.first()
+    assert (row.exp_name, row.c_name, row.c_id) == ("EXP", "cell_100", 100)
+    assert row.t_name == f"cell_{row.t_id}"
+
+
+def test_eligibility(spark):
+    people = [
+        *[visitor(i, cell) for cell in (100, 101) for i in range(cell * 10, cell * 10 + 4)],
+        visitor(1, 101, is_hopper=1),
+        visitor(2, 101, exposed_to_test=0),
+        visitor(3, 103, role="AC"),
+    ]
+    placed = [order(1000, 10, 1), order(1001, 20, 2), order(1010, 30, 3, cell=101)]
+
+    def denominators(**changes):
+        rows = summary(
+            Population(visitors(spark, people), orders(spark, placed), config(**changes))
+        ).where("metric = 'CR'")
+        return [(r.t_id, r.t_denominator_count) for r in rows.collect()]
+
+    assert denominators() == [(101, 5)]
+    assert denominators(exposed_only=True) == [(101, 4)]
+    assert denominators(max_hopper_level=1) == [(101, 6)]
+    assert denominators(visitor_constraint="and visitor_id <> 1013") == [(101, 4)]
+
+
+@pytest.mark.parametrize("case", ["no test orders", "one test order", "constant"])
+def test_untestable_arms_give_rows_without_z(spark, case):
+    people = [visitor(i, 100 if i <= 5 else 101) for i in range(1, 11)]
+    test_orders = {"no test orders": [], "one test order": [6], "constant": [6, 7]}[case]
+    placed = [order(1, 10, 1), order(2, 10, 1)] + [order(i, 10, 1, cell=101) for i in test_orders]
+    found = rows_by(
+        summary(Population(visitors(spark, people), orders(spark, placed), config())), "metric"
+    )
+    row = found["booking_per_buyer"]
+    assert (row["z_score"], row["pvalue"], row["significance"], row["chart_value"]) == (None,) * 4
+    assert row["t_denominator_count"] == len(test_orders)
+    assert row["t_value"] == (10.0 if test_orders else None)
+    per_visitor = found["booking_per_visitor"]
+    assert per_visitor["t_value"] == pytest.approx(2.0 * len(test_orders))
+
+
+def test_missing_money(spark):
+    """A missing value makes the visitor's total missing; the summary then counts it as zero."""
+    people = [visitor(i, 100 if i <= 4 else 101) for i in range(1, 9)]
+    placed = [order(1, 10, 1), order(1, None, 1), order(2, 40, 4), order(5, 30, 3, 101), order(6, 8, 1, 101)]
+    population = Population(visitors(spark, people), orders(spark, placed), config())
+    capped = rows_by(capped_ordering(population, False), "visitor_id")
+    assert capped[1]["booking_usd"] is None and capped[1]["gm_usd"] == 2.0
+    row = rows_by(summary(population), "metric")["booking_per_buyer"]
+    assert (row["c_denominator_count"], row["c_value"]) == (2, 20.0)
+
+
+def test_caps(spark):
+    people = [visitor(i) for i in range(1, 8)]
+    placed = [order(i, b, g) for i, b, g in [(1, 10, -50), (2, 20, 5), (3, 20, 6), (4, 30, 7), (5, 1000, 90)]]
+    population = Population(
+        visitors(spark, people),
+        orders(spark, placed),
+        config(bookings_high=0.75, gm_low=0.25, gm_high=0.75),
+    )
+    caps = cap_thresholds(population, False).first()
+    assert (caps["booking_usd"], caps["gm_usd"]) == ([30.0], [5.0, 7.0])
+    capped = rows_by(capped_ordering(population, False), "visitor_id")
+    assert [capped[i]["booking_usd"] for i in range(1, 6)] == [10, 20, 20, 30, 30]
+    assert [capped[i]["gm_usd"] for i in range(1, 6)] == [5, 5, 6, 7, 7]
+
+
+def test_caps_without_orders(spark):
+    population = Population(visitors(spark, [visitor(1), visitor(2, 101)]), orders(spark, []), config())
+    assert capped_ordering(population, False).count() == 0
+    rows = rows_by(summary(population), "metric")
+    assert rows["CR"]["t_value"] == 0.0 and rows["CR"]["z_score"] is None
+
+
+def test_caps_need_cutoffs(spark):
+    population = Population(visitors(spark, [visitor(1)]), orders(spark, []), config(gm_low=None))
+    with pytest.raises(ValueError, match="needed to cap"):
+        cap_thresholds(population, False)
+
+
+@pytest.mark.parametrize(
+    ("tail", "z", "label", "code"),
+    [
+        ("2tail", -1.96, "Significant Increase", 1),
+        ("2tail", -1.9599, "Not significant", 3),
+        ("2tail", 1.96, "Significant Decrease", 5),
+        ("2tail", 1.7, "Not significant", 3),
+        ("-1tail", 1.6449, "Significant Decrease", 5),
+        ("-1tail", 1.6448, "Not significant", 3),
+        ("-1tail", -5.0, "Not significant", 3),
+        ("+1tail", -1.6449, "Significant Increase", 1),
+        ("+1tail", -1.6448, "Not significant", 3),
+        ("+1tail", 5.0, "Not significant", 3),
+        ("2tail", None, None, None),
+        ("+1tail", None, None, None),
+    ],
+)
+def test_labels_by_tail(spark, tail, z, label, code):
+    frame = spark.createDataFrame([(tail, z)], "tail string, z double")
+    row = frame.select(sig.tail_label("z", "tail").alias("l"), sig.chart_code("z", "tail").alias("c"))
+    assert tuple(row.first()) == (label, code)
+
+
+def test_one_tailed_metrics_use_one_tailed_bounds(spark):
+    people, placed = made_up(size=30)
+    settings = config(tails={"CR": -1, "gm_per_buyer": 1})
+    found = summary(Population(visitors(spark, people), orders(spark, placed), settings))
+    rows = rows_by(found.where(F.col("t_id") == 101), "metric")
+    assert {m: (r["tail"], r["tail_type"]) for m, r in rows.items()} == {
+        "CR": ("-1tail", 1),
+        "booking_per_buyer": ("2tail", 2),
+        "gm_per_buyer": ("+1tail", 1),
+        "booking_per_visitor": ("2tail", 2),
+        "gm_per_visitor": ("2tail", 2),
+    }
+    gm = rows["gm_per_buyer"]
+    assert gm["low90"] == pytest.approx(gm["relative_diff"] - 1.2816 * gm["sd"] / gm["c_value"])
+    assert gm["sensitivity"] == pytest.approx(1.6449 * gm["sd"] / gm["c_value"])
+
+
+def test_settings_are_checked():
+    with pytest.raises(ValueError, match="no such metric"):
+        config(tails={"visits": 1})
+    with pytest.raises(ValueError, match="a tail is"):
+        config(tails={"CR": 2})
+    with pytest.raises(ValueError, match="quantile level"):
+        config(gm_low=-0.1)
+    with pytest.raises(ValueError, match="above gm_high"):
+        config(gm_low=0.9, gm_high=0.1)
