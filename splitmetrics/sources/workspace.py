@@ -8,6 +8,7 @@ executor costs a re-read instead of the whole lineage.
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"splitmetrics-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a local session without one gets its own."""
     folder = spark.conf.get(_SETTING, None)
@@ -22,14 +28,15 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="splitmetrics-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    return _local_folder(_application(spark))
+
+
+def _application(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", "application")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    application = spark.conf.get("spark.app.id", "application")
-    return f"{shared_folder(spark)}/splitmetrics/{application}/{label}-{uuid4().hex}"
+    return f"{shared_folder(spark)}/splitmetrics/{_application(spark)}/{label}-{uuid4().hex}"
 
 
 def stage(frame: DataFrame, label: str) -> DataFrame:
