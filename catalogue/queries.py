@@ -155,14 +155,10 @@ def order_attribution(spark, folder):
 
 
 def credit_attribution(spark, folder):
-    return (
-        attribution.attribute_credits(
-            sample_tables.orders(spark, folder),
-            sample_tables.raw_credits(spark, folder),
-            drop_reorders=True,
-        )
-        .groupBy("visitor_id")
-        .agg(F.count("*").alias("credits"))
+    return attribution.attribute_credits(
+        sample_tables.orders(spark, folder),
+        sample_tables.raw_credits(spark, folder),
+        drop_reorders=True,
     )
 
 

@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 _FRACTION_DEPTH = 240
 _SHIFT = 16
 
+# With very many degrees of freedom x is so close to 1 that the direct form cancels. The
+# mirrored one does not and is accurate for moderate t^2; beyond that the degrees of freedom
+# are capped, which by then changes p by less than 1e-9.
+_LARGE, _MODERATE, _CAP = "50000D", "12D", "50000000D"
+
 # Asymptotic series of ln(gamma(z + 1/2) / gamma(z)) - ln(z)/2, as
 # the terms in 1/z, 1/z^3, 1/z^5, 1/z^7, 1/z^9.
 _HALF_STEP_SERIES = (
@@ -29,7 +34,7 @@ def _bound(values: str, name: str, body: str) -> str:
 
 def _gamma_half_step(a: str) -> str:
     """gamma(a + 1/2) / gamma(a); the series is used only where it is accurate."""
-    shift = " * ".join(f"(({a} + {k}) / ({a} + {k}.5))" for k in range(_SHIFT))
+    shift = f"aggregate(sequence(0, {_SHIFT - 1}), 1D, (g, i) -> g * ({a} + i) / ({a} + i + 0.5D))"
     z = f"({a} + {_SHIFT})"
     return f"{shift} * sqrt{z} * exp({_HALF_STEP_SERIES.format(z=z)})"
 
@@ -51,6 +56,11 @@ def t_pvalue(t: str, df: str) -> Column:
     Null where either is null. Meant for result frames, one row per comparison.
     """
     integral = f"p.weight / (p.a * {_beta_fraction('p.a', 'p.b', 'p.x')})"
+    from_integral = _bound(
+        f"'mirrored', p.mirrored, 'integral', {integral}",
+        "q",
+        "if(q.mirrored, 1D - q.integral, q.integral)",
+    )
     from_parts = _bound(
         "'mirrored', v.mirrored, 'a', if(v.mirrored, 0.5D, v.half),"
         " 'b', if(v.mirrored, v.half, 0.5D),"
@@ -58,11 +68,17 @@ def t_pvalue(t: str, df: str) -> Column:
         f" 'weight', {_gamma_half_step('v.half')} / sqrt(pi())"
         " * exp(-v.half * log1p(v.t2 / (2 * v.half))) * sqrt(v.t2 / (2 * v.half + v.t2))",
         "p",
-        f"if(p.mirrored, 1D - {integral}, {integral})",
+        from_integral,
+    )
+    mirrored = (
+        "(u.t2 * (u.half + 2.5D) < 1.5D * (2 * u.half + u.t2))"
+        f" or (u.half > {_LARGE} and u.t2 < {_MODERATE})"
     )
-    mirrored = "u.t2 * (u.half + 2.5D) < 1.5D * (2 * u.half + u.t2)"
     from_square = _bound(
-        f"'t2', u.t2, 'half', u.half, 'mirrored', {mirrored}", "v", from_parts
+        f"'t2', u.t2, 'half', if(u.t2 < {_MODERATE}, u.half, least(u.half, {_CAP})),"
+        f" 'mirrored', {mirrored}",
+        "v",
+        from_parts,
     )
     return F.expr(
         _bound(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from splitmetrics.operators.population import CELL_COLUMNS
 from splitmetrics.schema import ORDERS
+from splitmetrics.sources.workspace import stage
 
 
 def _days_after_touch(day: str) -> Column:
@@ -18,7 +19,8 @@ def attribute_orders(visitors: DataFrame, raw_orders: DataFrame, days: int) -> D
 
     ``order_count`` is the visitor's number of such orders. It is taken from daily counts,
     which are aggregated before they are shuffled by visitor, so no visitor's orders have
-    to be gathered to count them.
+    to be gathered to count them. The counted visitors are staged: a join of two tables is
+    one in which Spark splits a visitor with very many orders over several tasks.
     """
     orders = raw_orders.withColumn("order_day", F.to_date("order_date"))
     touched = visitors.select(
@@ -26,11 +28,12 @@ def attribute_orders(visitors: DataFrame, raw_orders: DataFrame, days: int) -> D
     )
     in_window = _days_after_touch("order_day").between(0, days)
     daily = orders.groupBy("visitor_id", "order_day").agg(F.count("*").alias("placed"))
-    counted = (
+    counted = stage(
         touched.join(daily, "visitor_id")
         .where(in_window)
         .groupBy(*touched.columns)
-        .agg(F.sum("placed").alias("order_count"))
+        .agg(F.sum("placed").alias("order_count")),
+        "ordering_visitors",
     )
     return (
         orders.join(counted, "visitor_id")
@@ -41,10 +44,14 @@ def attribute_orders(visitors: DataFrame, raw_orders: DataFrame, days: int) -> D
 
 
 def attribute_credits(orders: DataFrame, raw_credits: DataFrame, drop_reorders: bool) -> DataFrame:
-    """Credits given to visitors with attributed orders, without those for reorders if asked."""
+    """Credited visitors with attributed orders, and their number of credits.
+
+    Credits for reorders are left out if asked.
+    """
     kept = raw_credits.where(~F.col("is_reorder")) if drop_reorders else raw_credits
+    credited = kept.groupBy("visitor_id").agg(F.count("*").alias("credits"))
     ordering = orders.select("visitor_id").distinct()
-    return kept.join(ordering, "visitor_id", "left_semi").select("visitor_id")
+    return credited.join(ordering, "visitor_id", "left_semi")
 
 
 def contacts_after_touch(touches: DataFrame, raw_contacts: DataFrame, days: int) -> DataFrame:

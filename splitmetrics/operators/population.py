@@ -94,17 +94,23 @@ class Population:
             F.sum("valid_visitors").alias("valid_visitors"),
         )
 
+    @cached_property
+    def profile(self) -> DataFrame:
+        """Order totals of all visitors with orders in the window, eligible or not, staged."""
+        return stage(rollups.order_profile(self.orders), "profile")
+
     @cached_property
     def order_rows(self) -> DataFrame:
-        """Order totals with the eligible visitor they belong to (null if there is none), staged."""
+        """Order totals of the eligible visitors, with the visitor's attributes, staged.
+
+        Both sides of this join are tables: it is a broadcast join when few visitors order,
+        so that the visitors are not shuffled, and otherwise one that splits hot keys.
+        """
         visitor_columns = dict.fromkeys([*CELL_COLUMNS, "touch_date", *self.dimensions])
-        eligible = (
-            self.visitors.select("visitor_id", *visitor_columns)
-            .withColumn("touch_date", F.to_date("touch_date"))
-            .withColumn("is_eligible", F.lit(True))
+        eligible = self.visitors.select("visitor_id", *visitor_columns).withColumn(
+            "touch_date", F.to_date("touch_date")
         )
-        profile = rollups.order_profile(self.orders)
-        return stage(profile.join(eligible, "visitor_id", "left"), "order_rows")
+        return stage(self.profile.join(eligible, "visitor_id"), "order_rows")
 
     @cached_property
     def order_row_count(self) -> int:
@@ -115,7 +121,7 @@ class Population:
         """Eligible visitors with orders in the window, one row per total of the grain."""
         if grain not in rollups.GRAINS:
             raise ValueError(f"grain is one of {rollups.GRAINS}")
-        chosen = F.col("is_eligible") & F.col(f"is_{grain}_row")
+        chosen = F.col(f"is_{grain}_row")
         if not include_alternate:
             chosen = chosen & filters.not_alternate()
         measures = [

@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from splitmetrics.sources.workspace import stage
 
 # Up to this many values, the value counts of a column are small enough for one task.
-ONE_TASK_ROWS = 4_000_000
+ONE_TASK_ROWS = 1_000_000
 _VALUES_PER_BUCKET = 1_000_000
 _BUCKET_LIMITS = (16, 2048)
 

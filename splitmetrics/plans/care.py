@@ -55,10 +55,10 @@ def credit_rate(
     ordering = orders.select(*_CELL, "visitor_id").distinct()
     eligible = visitors.where(
         filters.not_alternate() & filters.hopper_at_most(config.credit_hopper_level)
-    ).select("visitor_id")
+    )
     credited = credits.select("visitor_id").distinct().withColumn("credited", F.lit(True))
     rates = (
-        ordering.join(eligible, "visitor_id", "left_semi")
+        ordering.join(eligible.select("visitor_id").distinct(), "visitor_id", "left_semi")
         .join(credited, "visitor_id", "left")
         .groupBy(*_CELL)
         .agg(

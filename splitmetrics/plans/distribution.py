@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from splitmetrics.operators import filters
+from splitmetrics.operators.numbering import numbered
 from splitmetrics.plans.cohort import by_dimension
 
 # The dimensions reported, the width values are cut to, the label of a
@@ -91,30 +92,13 @@ def _share(no_visitors, traffic_counts: DataFrame):
 
 
 def dimension_share(counts: DataFrame, traffic_counts: DataFrame) -> DataFrame:
-    """Share of each dimension value in the traffic, numbered by dimension and falling share.
-
-    Numbers run on from one dimension to the next, so each dimension is numbered by
-    itself and moved up by the sizes of those before it.
-    """
+    """Share of each dimension value in the traffic, numbered by dimension and falling share."""
     values = (
         counts.groupBy("combined_name", "value", "dimension")
         .agg(F.sum("no_visitor").alias("no_visitors"))
         .withColumn("cent", _share(F.col("no_visitors"), traffic_counts))
     )
-    place = Window.partitionBy("dimension").orderBy(F.desc("cent"), "combined_name")
-    before = Window.orderBy("dimension").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        values.groupBy("dimension")
-        .agg(F.count("*").alias("size"))
-        .select("dimension", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    )
-    return (
-        values.withColumn("place", F.row_number().over(place))
-        .join(offsets, "dimension")
-        .withColumn("index", F.col("place") + F.col("offset"))
-        .drop("place", "offset")
-        .orderBy("index")
-    )
+    return numbered(values, "index", "dimension", F.desc("cent"), "combined_name", "value")
 
 
 def evenness(counts: DataFrame, traffic_counts: DataFrame) -> DataFrame:

@@ -117,10 +117,10 @@ def test_credit_attribution(spark):
     raw = spark.createDataFrame([(1, False), (1, True), (2, True), (5, False)], RAW_CREDITS)
 
     def given(drop):
-        return sorted(r.visitor_id for r in attribute_credits(placed, raw, drop).collect())
+        return {r.visitor_id: r.credits for r in attribute_credits(placed, raw, drop).collect()}
 
-    assert given(False) == [1, 1, 2]
-    assert given(True) == [1]
+    assert given(False) == {1: 2, 2: 1}
+    assert given(True) == {1: 1}
 
 
 @pytest.mark.parametrize("days", [0, 1, 7])

@@ -1,6 +1,8 @@
 import pytest
 from frames import day, rows_by, visitor, visitors
+from pyspark.sql import functions as F
 
+from splitmetrics.operators.numbering import numbered
 from splitmetrics.operators.population import traffic
 from splitmetrics.plans import distribution
 
@@ -39,7 +41,7 @@ def test_traffic_frames(spark):
 def test_shares_of_dimension_values(spark):
     table = visitors(spark, made_up())
     counts = distribution.dimension_counts(table)
-    found = distribution.dimension_share(counts, traffic(table)).collect()
+    found = distribution.dimension_share(counts, traffic(table)).orderBy("index").collect()
     assert [r["index"] for r in found] == list(range(1, len(found) + 1))
     assert [r["dimension"] for r in found] == sorted(r["dimension"] for r in found)
     by_name = {r["combined_name"]: r for r in found}
@@ -55,7 +57,7 @@ def test_shares_of_dimension_values(spark):
 def test_ties_in_share_are_numbered_by_name(spark):
     table = visitors(spark, [visitor(1, region="b"), visitor(2, region="a"), visitor(3, region="c")])
     counts = distribution.dimension_counts(table)
-    rows = distribution.dimension_share(counts, traffic(table)).where("dimension = 'region'").collect()
+    rows = distribution.dimension_share(counts, traffic(table)).where("dimension = 'region'").orderBy("index").collect()
     assert [r["value"] for r in rows] == ["a", "b", "c"]
 
 
@@ -90,3 +92,12 @@ def test_evenness(spark):
     for r in found:
         assert totals[r["dimension"], r["value"]] == r["no_visitors"]
     assert ("region", None) in totals
+
+
+def test_numbering_does_not_depend_on_how_rows_are_split(spark):
+    frame = spark.range(1000).selectExpr("id % 7 as a", "id")
+    rows = numbered(frame.repartition(5), "n", F.desc("a"), "id").orderBy("n").collect()
+    expected = sorted(((i % 7, i) for i in range(1000)), key=lambda r: (-r[0], r[1]))
+    assert [(r.a, r.id) for r in rows] == expected
+    assert [r.n for r in rows] == list(range(1, 1001))
+    assert numbered(frame.where("id < 0"), "n", "id").count() == 0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from catalogue.queries import CONFIG
 from splitmetrics.operators import rollups
+from splitmetrics.operators.attribution import attribute_orders, contacts_after_touch
 from splitmetrics.operators.population import Population, traffic
 from splitmetrics.plans.cohort import by_dimension, cohort_arms
 from splitmetrics.sources import sample_tables
@@ -67,7 +68,7 @@ def test_cohort_arms_read_only_what_they_use(spark, population):
     plan = plan_of(cohort_arms(population))
     scans = [line for line in plan.splitlines() if "FileScan" in line and "order_rows" in line]
     assert scans and all("touch_booking_usd" not in s and "cell_gm_usd" not in s for s in scans)
-    assert all("PushedFilters: [IsNotNull(is_eligible)" in s or "is_visitor_row" in s for s in scans)
+    assert all("EqualTo(is_visitor_row,true)" in s for s in scans)
 
 
 def test_dimensions_are_spread_without_a_shuffle(spark, population):
@@ -89,3 +90,64 @@ def test_results_do_not_depend_on_the_number_of_partitions(spark):
     finally:
         spark.conf.set(setting, before)
     assert found[0] == found[1]
+
+
+@pytest.fixture
+def eager_skew_handling(spark):
+    """Settings under which small test tables count as big and skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_a_visitor_with_a_third_of_all_orders_is_split(spark, eager_skew_handling):
+    numbers = spark.range(0, 60_000, 1, 8)
+    raw = numbers.selectExpr(
+        "if(id % 3 = 0, 5L, id % 5000) as visitor_id",
+        "id as order_id",
+        "date'2024-01-02' as order_date",
+        "rand(1) as booking_usd",
+        "rand(2) as gm_usd",
+    )
+    people = spark.range(5000).selectExpr(
+        "id as visitor_id",
+        "1 as test_id",
+        "'E' as test_name",
+        "cast(100 + id % 2 as int) as test_sub_id",
+        "'cell' as test_sub_name",
+        "'T' as control_test",
+        "date'2024-01-01' as touch_date",
+    )
+    attributed = attribute_orders(people, raw, 7)
+    rows = attributed.collect()
+    assert len(rows) == 60_000
+    assert {r.order_count for r in rows if r.visitor_id == 5} == {20_008}
+    assert "SortMergeJoin(skew=true)" in plan_of(attributed)
+
+
+def test_a_shopper_with_a_third_of_all_rows_is_split(spark, eager_skew_handling):
+    touches = spark.range(0, 30_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 7L, id) as shopper_key",
+        "id as visitor_id",
+        "date_add(date'2024-01-01', cast(id % 2 as int)) as touch_date",
+    )
+    contacts = spark.range(30).selectExpr(
+        "if(id % 3 = 0, 7L, id) as shopper_key",
+        "id as contact_id",
+        "timestamp_ntz'2024-01-02 10:00:00' as contact_ts",
+    )
+    found = contacts_after_touch(touches, contacts, 7)
+    assert found.where("shopper_key = 7").count() == 10_001 * 11
+    per_contact = found.groupBy("contact_id").count()
+    per_contact.collect()
+    assert "skew=true" in plan_of(per_contact)

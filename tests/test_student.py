@@ -22,7 +22,7 @@ def p_values(spark, pairs):
 
 def test_golden_values(spark):
     found = p_values(spark, [(t, df) for t, df, _ in GOLDEN])
-    assert found == pytest.approx([p for _, _, p in GOLDEN], abs=2e-11)
+    assert found == pytest.approx([p for _, _, p in GOLDEN], abs=1e-10)
 
 
 def test_far_tail_keeps_relative_accuracy(spark):
@@ -41,7 +41,7 @@ def test_one_and_two_degrees_of_freedom_have_closed_forms(spark):
     assert p_values(spark, [(t, 2.0) for t in ts]) == pytest.approx(second, rel=1e-9)
 
 
-@pytest.mark.parametrize("df", [5.5, 399.0, 401.0, 1e5, 1e8, 1e10])
+@pytest.mark.parametrize("df", [5.5, 399.0, 99_000.0, 101_000.0, 1e8, 1e10, 1e12])
 def test_against_integration_for_many_t(spark, df):
     """Simpson's rule over the density, scaled by its own integral, so without gamma functions."""
 
@@ -52,7 +52,7 @@ def test_against_integration_for_many_t(spark, df):
         weights[1:-1:2], weights[2:-1:2] = 4, 2
         return upper / steps / 3 * np.sum(weights * density)
 
-    ts = [0.001, 0.3, 1.0, 1.5, 1.7, 1.73, 1.74, 1.8, 1.96, 2.5, 3.5]
+    ts = [0.001, 0.3, 1.0, 1.5, 1.7, 1.73, 1.74, 1.8, 1.96, 2.5, 3.5, 5.0, 6.5, 7.05, 7.1, 8.0]
     whole = integral(10_000.0, 4_000_000) if df < 100 else integral(20.0)
     expected = [1 - integral(t) / whole for t in ts]
     assert p_values(spark, [(t, df) for t in ts]) == pytest.approx(expected, abs=1e-9)
