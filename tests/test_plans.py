@@ -98,9 +98,9 @@ def eager_skew_handling(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
     }
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
