@@ -63,17 +63,10 @@ def comparable(frame: DataFrame) -> DataFrame:
     return frame.select(*columns)
 
 
-_populations: dict[tuple[str, str, str], Population] = {}
-
-
 def _population(spark: SparkSession, folder: str, config: ExperimentConfig = CONFIG) -> Population:
-    """The population of an experiment; as in a full run, its analyses share what it stages."""
-    key = (spark.conf.get("spark.app.id"), folder, repr(config))
-    if key not in _populations:
-        _populations[key] = Population(
-            sample_tables.visitors(spark, folder), sample_tables.orders(spark, folder), config
-        )
-    return _populations[key]
+    return Population(
+        sample_tables.visitors(spark, folder), sample_tables.orders(spark, folder), config
+    )
 
 
 def _of_population(
