@@ -1,0 +1,23 @@
+"""Small document tables for the tests."""
+
+from __future__ import annotations
+
+import random
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: Columns named like those that the operators make.
+CLASHING = SCHEMA + ", tag string, fp string, root string, row string, spans string, gone string, cleaned string, key string"
+
+
+def words(seed: int, count: int, vocabulary: int = 5000) -> list[str]:
+    draw = random.Random(seed)
+    return ["".join(chr(97 + (draw.randrange(vocabulary) * 7919 + k) % 26) for k in range(3)) + str(draw.randrange(vocabulary)) for _ in range(count)]
+
+
+def documents(spark, texts, clashing=False, partitions=3):
+    """Rows for texts, or for (doc_id, text) pairs."""
+    rows = [t if isinstance(t, tuple) else (k, t) for k, t in enumerate(texts)]
+    full = [(i, t, "en", "s", None if t is None else len(t)) for i, t in rows]
+    if clashing:
+        full = [(*r, *"abcdefgh") for r in full]
+    return spark.createDataFrame(full, CLASHING if clashing else SCHEMA).repartition(partitions)
