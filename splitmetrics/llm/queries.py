@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from splitmetrics.llm import (
+    bpe,
+    chat_formatting,
+    fingerprints,
     language_id,
     line_dedup,
     packing,
+    quality,
     simhash,
     suffix_dedup,
+    token_shards,
 )
 
 
@@ -24,6 +29,13 @@ def _digest(text: str):
     return F.sha2(F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8"), 256)
 
 
+def chat_formatting_query(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces that render every repaired conversation, in order of position."""
+    return chat_formatting.format_conversations(
+        spark.read.parquet(f"{folder}/conversations.parquet")
+    )
+
+
 def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Passages of 50 or more words that stand earlier go; the spans are word numbers."""
     found = suffix_dedup.drop_repeated_passages(_documents(spark, folder))
@@ -49,6 +61,10 @@ def line_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_versions(_documents(spark, folder))
+
+
 def language(spark: SparkSession, folder: str) -> DataFrame:
     documents = _documents(spark, folder)
     model = language_id.fit(documents, ~language_id.held_out())
@@ -56,21 +72,41 @@ def language(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", language_id.held_out())
 
 
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _documents(spark, folder)
+    model = quality.fit(documents, spark.read.parquet(f"{folder}/labels.parquet"))
+    return quality.judge(documents, model)
+
+
 def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.simhash_groups(_documents(spark, folder))
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip_digests(_documents(spark, folder))
+
+
+def token_shards_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Shards are written below the shared folder, and what they hold is read back."""
+    return token_shards.training_order(spark, _documents(spark, folder))
+
+
 def packing_query(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, folder))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_chat_formatting": chat_formatting_query,
         "op2_suffix_array_dedup": suffix_array_dedup,
         "op3_line_dedup": line_dedup_query,
+        "op4_document_fingerprints": document_fingerprints,
         "op5_language_id": language,
+        "op6_quality_rules": quality_rules,
         "op7_simhash_near_dedup": simhash_near_dedup,
+        "op8_bpe_round_trip": bpe_round_trip,
+        "op9_token_shards": token_shards_query,
         "op10_packing": packing_query,
     }
 

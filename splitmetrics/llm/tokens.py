@@ -45,3 +45,7 @@ def token_ids(text: str | None, vocabulary: str = VOCABULARY) -> np.ndarray:
         return fast.encode_to_numpy(text or "", allowed_special="all").astype("<u4", copy=False)
     except Exception:  # the pattern engine's own limits on a text; tokenizers has none
         return np.array(exact.encode(text or "", add_special_tokens=False).ids, "<u4")
+
+
+def vocabulary_size(vocabulary: str = VOCABULARY) -> int:
+    return _encoders(vocabulary)[0].get_vocab_size(with_added_tokens=True)
