@@ -192,14 +192,17 @@ def _examined(documents: DataFrame, listed: DataFrame, length: int, gram: int) -
     )
 
 
-def repeated_passages(documents: DataFrame, length: int = 50, gram: int = 25) -> DataFrame:
+def repeated_passages(documents: DataFrame, length: int = 50, gram: int = 15) -> DataFrame:
     """doc_id, tag and ``spans``: the words [start, end) that repeated passages cover, in order.
 
     Only documents that have any. Spans do not overlap or touch. Equal rows are one document.
     """
     if not 0 < gram <= length:
         raise ValueError("a gram has at least one word and no more than a passage")
-    found = stage(retained(documents, gram, length - gram + 1), "suffixes")
+    every = stage(retained(documents, gram, length - gram + 1), "suffixes")
+    # Most grams stand once, and nothing but the gram is shuffled to tell.
+    again = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    found = stage(every.join(again, "gram", "left_semi"), "repeated_suffixes")
     classes = stage(found.groupBy("gram", "context").agg(_first()), "suffix_classes")
     mixed = classes.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
     heads = classes.join(mixed.select("gram"), "gram").select("first.doc_id", "first.tag", "first.at")
@@ -243,7 +246,7 @@ def without_words(text: str, spans: list) -> str:
     return "".join([*kept, text[at:]])
 
 
-def drop_repeated_passages(documents: DataFrame, length: int = 50, gram: int = 25) -> DataFrame:
+def drop_repeated_passages(documents: DataFrame, length: int = 50, gram: int = 15) -> DataFrame:
     """The struct ``row`` of every document, its ``cleaned`` text, and ``spans``, the words that went.
 
     A null text stays null. A text of fewer than ``length`` words has no passage and stays as it is.
