@@ -3,23 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import asdict, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from splitmetrics.config import ExperimentConfig
-from splitmetrics.operators import attribution, filters, rollups
+from splitmetrics.config import ALL_DIMENSIONS, ExperimentConfig
+from splitmetrics.operators import attribution
 from splitmetrics.operators.caps import cap_thresholds, capped_ordering
-from splitmetrics.operators.population import Population, joined_population, traffic
+from splitmetrics.operators.population import Population, traffic
 from splitmetrics.operators.quantiles import exact_quantiles
 from splitmetrics.plans import care, distribution, reports, series, sweep
 from splitmetrics.plans.cohort import cohort_summary
-from splitmetrics.plans.pipeline import run
+from splitmetrics.plans.pipeline import InputTables, run
 from splitmetrics.plans.summary import summary
 from splitmetrics.sources import results, sample_tables
-from splitmetrics.sources.tables import chunk_predicates, with_constraint
+from splitmetrics.sources.tables import (
+    RawTableNames,
+    TableNames,
+    read_chunks,
+    with_constraint,
+)
 from splitmetrics.sources.workspace import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,16 +36,11 @@ CONFIG = ExperimentConfig(
 ONE_TAILED = replace(CONFIG, tails={"booking_per_buyer": -1, "gm_per_buyer": 1})
 ALL_COHORTS = replace(
     CONFIG,
-    cohort_dimensions=(
-        "is_new",
-        "region",
-        "website_country",
-        "channel_group",
-        "initial_device_type",
-    ),
+    cohort_dimensions=ALL_DIMENSIONS,
 )
 CHUNKS = 4
 CONSTRAINT = "and region = 'EUROPE' and is_new = 1"
+EITHER_CONSTRAINT = "AND (region = 'EUROPE' and is_new = 1) or region = 'ASIA'"
 QUANTILE_LEVELS = (0.0, 0.001, 0.25, 0.5, 0.9, 0.99, 0.999, 1.0)
 
 
@@ -49,11 +50,16 @@ NUDGE = 1 + 1e-11
 
 
 def comparable(frame: DataFrame) -> DataFrame:
-    """Doubles to six digits, whole numbers as bigint, dates as text: alike in any engine."""
+    """Doubles to six digits, whole numbers as bigint, dates as text: alike in any engine.
+
+    P-values are compared by their logarithms, since the small ones differ in no six digits.
+    """
     columns = []
     for field in frame.schema:
         column = F.col(field.name)
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        if field.name.startswith("pvalue"):
+            column = F.round(F.log10(column), 5) + 0.0
+        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             column = F.round(column * NUDGE, 6)
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             column = column.cast("bigint")
@@ -79,12 +85,6 @@ def _of_traffic(frame: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: frame(traffic(sample_tables.visitors(spark, folder)))
 
 
-def _of_orders(rollup: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: rollup(
-        filters.within_days(sample_tables.orders(spark, folder), CONFIG.days_to_consider)
-    )
-
-
 def _of_dimensions(frame: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     def query(spark, folder):
         visitors = sample_tables.visitors(spark, folder)
@@ -94,13 +94,18 @@ def _of_dimensions(frame: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
 
 
 def chunked_import(spark, folder):
-    """The chunks of an import by key: together they hold every row once."""
-    chunk = F.lit(None).cast("int")
-    for i, predicate in enumerate(chunk_predicates("visitor_id", CHUNKS)):
-        chunk = F.when(F.expr(predicate), i).otherwise(chunk)
+    """Imports by key in chunks, each appended to those before, without and with a constraint."""
+    visitors = sample_tables.visitors(spark, folder)
+    imports = [
+        read_chunks(visitors, "visitor_id", CHUNKS, constraint).select(
+            F.lit(name).alias("import"), "visitor_id"
+        )
+        for name, constraint in (("all", None), ("some", EITHER_CONSTRAINT))
+    ]
     return (
-        sample_tables.visitors(spark, folder)
-        .groupBy(chunk.alias("chunk"))
+        imports[0]
+        .unionByName(imports[1])
+        .groupBy("import", (F.col("visitor_id") % CHUNKS).alias("chunk"))
         .agg(F.count("*").alias("rows"), F.sum("visitor_id").alias("key_sum"))
     )
 
@@ -125,25 +130,76 @@ def save_and_reload(spark, folder):
 
 
 def run_history_append(spark, folder):
-    """Stage timings of a run that stops after the sweeps, and of one that does not."""
+    """Which stages a run that stops after the sweeps has timed, and one that does not.
+
+    Timings themselves differ from run to run, so the row says where there are none, and
+    that the total covers the stages.
+    """
     path = new_path(spark, "history")
     tables = sample_tables.input_tables(spark, folder)
-    first = run(tables, replace(CONFIG, gm_low=None, rerun_attribution=False))
-    results.append_run_history(spark, path, CONFIG, first.timings)
-    run(tables, replace(CONFIG, rerun_attribution=False), history=path)
-    return results.read_run_history(spark, path)
+    other = replace(CONFIG, test_id=2, gm_low=None, rerun_attribution=False)
+    with run(tables, other) as first:
+        results.append_run_history(spark, path, other, first.timings)
+    with run(tables, replace(CONFIG, rerun_attribution=False), history=path):
+        pass
+    history = results.read_run_history(spark, path)
+    timed = [stage_name for stage_name in results.STAGES if stage_name != "total_time"]
+    spent = sum((F.coalesce(F.col(name), F.lit(0.0)) for name in timed), F.lit(0.0))
+    return history.select(
+        "test_id",
+        "test_type_id",
+        *[F.col(name).isNull().alias(f"no_{name}") for name in timed],
+        (F.col("total_time") >= spent - 1e-6).alias("total_covers_stages"),
+    )
+
+
+#: What identifies a row of each result frame.
+_RUN_KEYS = {
+    "visitors_by_cell": "test_sub_name, control_test",
+    "hopper_share": "is_hopper",
+    "visitors_by_date": "test_sub_name, touch_date",
+    "dimension_share": "dimension, coalesce(value, 'NA'), no_visitors",
+    "evenness": "dimension, coalesce(value, 'NA'), test_sub_name, no_visitor",
+    "gm_sweep": "t_id, int(round(cutoff_perc_max * 10000)), t_denominator_count",
+    "gm_low_curve": "int(round(quantile_point * 10000))",
+    "booking_sweep": "t_id, int(round(cutoff_perc_max * 10000)), t_visitors_flattened",
+    "booking_histogram": "bucket, test_sub_name, no_of_ordering_visitors",
+    "summary": "metric, t_id, t_denominator_count",
+    "cohort": "cohort, coalesce(dimension, 'NA'), t_id, t_count, t_ordering_visitor_count",
+    "credit": "test_sub_id",
+    "contact": "test_sub_id, shopper_ct, contact_ct",
+    "daily": "touch_date, t_id, t_denominator_count",
+    "cumulative": "dateVariable, test_sub_name, cum_visitor_test, cum_buyers_test",
+}
+
+
+def _frame_digests(frames: dict[str, DataFrame]) -> DataFrame:
+    """For each frame its number of rows and a digest of their keys and counts, in order."""
+    digests = []
+    for name, keys in _RUN_KEYS.items():
+        key = F.expr(f"concat_ws('|', {keys})")
+        joined = F.array_join(F.array_sort(F.collect_list(key)), ",")
+        digests.append(
+            frames[name].agg(
+                F.lit(name).alias("frame"), F.count("*").alias("rows"), F.md5(joined).alias("keys")
+            )
+        )
+    return reduce(DataFrame.unionByName, digests)
 
 
 def full_run_row_counts(spark, folder):
-    result = run(sample_tables.input_tables(spark, folder), CONFIG)
-    counted = [
-        frame.agg(F.count("*").alias("rows")).select(F.lit(name).alias("frame"), "rows")
-        for name, frame in result.frames.items()
-    ]
-    total = counted[0]
-    for one in counted[1:]:
-        total = total.unionByName(one)
-    return total
+    return _frame_digests(run(sample_tables.input_tables(spark, folder), CONFIG).frames)
+
+
+def run_by_name(spark, folder):
+    """Save the sample tables under the names of the experiment, load them by (type, id), and run."""
+    tables, base = sample_tables.input_tables(spark, folder), new_path(spark, "named_tables")
+    names = TableNames(CONFIG.test_type_id, CONFIG.test_id)
+    tables.visitors.write.parquet(f"{base}/{names.visitors}")
+    for event, name in asdict(RawTableNames()).items():
+        getattr(tables.raw, event).write.parquet(f"{base}/{name}")
+    loaded = InputTables.load(spark, CONFIG, folder=base, raw=RawTableNames())
+    return _frame_digests(run(loaded, CONFIG).frames)
 
 
 def order_attribution(spark, folder):
@@ -170,12 +226,25 @@ def contact_attribution(spark, folder):
     )
 
 
-def population(spark, folder):
-    joined = joined_population(
-        sample_tables.visitors(spark, folder), sample_tables.orders(spark, folder), CONFIG
-    )
-    return joined.select(
-        "visitor_id", "test_sub_id", "order_count", "booking_usd", "gm_usd", "ordered"
+def population(population: Population) -> DataFrame:
+    """Visitors and orderers of each cell and touch date, at the visitor grain."""
+    return population.joined_counts("visitor", "touch_date")
+
+
+_TOTALS = ("order_count", "booking_usd", "gm_usd")
+
+
+def visitor_order_rollup(population: Population) -> DataFrame:
+    return population.ordering("visitor").select("visitor_id", "test_sub_id", *_TOTALS)
+
+
+def buyer_rollup(population: Population) -> DataFrame:
+    return population.ordering("cell").select("visitor_id", "test_sub_id", *_TOTALS)
+
+
+def first_order_rollup(population: Population) -> DataFrame:
+    return population.ordering("touch").select(
+        "visitor_id", "test_sub_id", "first_order_date", *_TOTALS
     )
 
 
@@ -194,11 +263,9 @@ def capped_values(population: Population) -> DataFrame:
 
 
 def quantiles_by_rank(spark, folder):
-    """The selection by rank that large columns take, over all line items."""
+    """Quantiles over all line items."""
     prices = sample_tables._table(spark, folder, "lineitem").select("l_extendedprice")
-    found = exact_quantiles(
-        prices, {"l_extendedprice": QUANTILE_LEVELS}, one_task_rows=0
-    )
+    found = exact_quantiles(prices, {"l_extendedprice": QUANTILE_LEVELS})
     levels = F.array(*[F.lit(level) for level in QUANTILE_LEVELS])
     return found.select(
         F.inline(
@@ -304,10 +371,10 @@ _QUERIES: dict[str, Query] = {
     "order_attribution": order_attribution,
     "credit_attribution": credit_attribution,
     "contact_attribution": contact_attribution,
-    "visitor_order_rollup": _of_orders(rollups.visitor_totals),
-    "buyer_rollup": _of_orders(rollups.cell_totals),
-    "first_order_rollup": _of_orders(rollups.touch_totals),
-    "population": population,
+    "visitor_order_rollup": _of_population(visitor_order_rollup),
+    "buyer_rollup": _of_population(buyer_rollup),
+    "first_order_rollup": _of_population(first_order_rollup),
+    "population": _of_population(population),
     "cap_thresholds": _of_population(cap_values),
     "capped_values": _of_population(capped_values),
     "quantiles_by_rank": quantiles_by_rank,
@@ -330,6 +397,7 @@ _QUERIES: dict[str, Query] = {
     "dimension_share": _of_dimensions(distribution.dimension_share),
     "evenness": _of_dimensions(distribution.evenness),
     "full_run_row_counts": full_run_row_counts,
+    "run_by_name": run_by_name,
     "summary_report": _of_population(lambda p: reports.summary_report(summary(p), 101)),
     "cohort_report": _of_population(lambda p: reports.cohort_report(cohort_summary(p)), ALL_COHORTS),
     "care_report": care_report,

@@ -15,9 +15,10 @@ _FRACTION_DEPTH = 240
 _SHIFT = 16
 
 # With very many degrees of freedom x is so close to 1 that the direct form cancels. The
-# mirrored one does not and is accurate for moderate t^2; beyond that the degrees of freedom
-# are capped, which by then changes p by less than 1e-9.
-_LARGE, _MODERATE, _CAP = "50000D", "12D", "50000000D"
+# mirrored one does not and is accurate for moderate t^2; beyond that the t quantile is turned into
+# a normal one by an expansion in 1/df, and p is the normal tail, from its continued fraction.
+_LARGE, _MODERATE = "50000D", "12D"
+_TAIL_DEPTH = 100
 
 # Asymptotic series of ln(gamma(z + 1/2) / gamma(z)) - ln(z)/2, as
 # the terms in 1/z, 1/z^3, 1/z^5, 1/z^7, 1/z^9.
@@ -50,6 +51,25 @@ def _beta_fraction(a: str, b: str, x: str) -> str:
     return f"aggregate({levels}, 1D, (f, k) -> 1D + if(k.even, {even}, {odd}) / f)"
 
 
+def _normal_tail() -> str:
+    """Both tails beyond the normal quantile that belongs to u.t2 at 2 * u.half degrees of freedom.
+
+    With a = df - 1/2, b = 48 a^2 and w = sqrt(a ln(1 + t^2 / df)), that quantile is
+    w + (w^3 + 3 w) / b - (4 w^7 + 33 w^5 + 240 w^3 + 855 w) / (10 b (b + 0.8 w^4 + 100)) (Hill 1970).
+    """
+    quantile = (
+        "w.w + (pow(w.w, 3) + 3 * w.w) / w.b - (4 * pow(w.w, 7) + 33 * pow(w.w, 5)"
+        " + 240 * pow(w.w, 3) + 855 * w.w) / (10 * w.b * (w.b + 0.8D * pow(w.w, 4) + 100))"
+    )
+    fraction = f"aggregate(sequence({_TAIL_DEPTH}, 1, -1), z.z, (f, k) -> z.z + k / f)"
+    tail = f"sqrt(2D / pi()) * exp(-z.z * z.z / 2) / {fraction}"
+    steps = (
+        "'w', sqrt((2 * u.half - 0.5D) * log1p(u.t2 / (2 * u.half))),"
+        " 'b', 48 * pow(2 * u.half - 0.5D, 2)"
+    )
+    return _bound(steps, "w", _bound(f"'z', {quantile}", "z", tail))
+
+
 def t_pvalue(t: str, df: str) -> Column:
     """Two-sided p-value of ``t`` with ``df`` degrees of freedom (SQL expressions).
 
@@ -75,8 +95,7 @@ def t_pvalue(t: str, df: str) -> Column:
         f" or (u.half > {_LARGE} and u.t2 < {_MODERATE})"
     )
     from_square = _bound(
-        f"'t2', u.t2, 'half', if(u.t2 < {_MODERATE}, u.half, least(u.half, {_CAP})),"
-        f" 'mirrored', {mirrored}",
+        f"'t2', u.t2, 'half', u.half, 'mirrored', {mirrored}",
         "v",
         from_parts,
     )
@@ -84,6 +103,8 @@ def t_pvalue(t: str, df: str) -> Column:
         _bound(
             f"'t2', ({t}) * ({t}), 'half', ({df}) / 2D",
             "u",
-            f"if(u.t2 is not null and u.half > 0, {from_square}, null)",
+            f"case when u.t2 is null or not u.half > 0 then null"
+            f" when u.half > {_LARGE} and u.t2 >= {_MODERATE} then {_normal_tail()}"
+            f" else {from_square} end",
         )
     )

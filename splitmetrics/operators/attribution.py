@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,28 @@ def _days_after_touch(day: str) -> Column:
     return F.date_diff(F.col(day), F.col("touch_date"))
 
 
+def touch_period(touches: DataFrame) -> tuple[date, date] | None:
+    """The first and last touch date; None without any touch. One small aggregation, run at once."""
+    day = F.to_date("touch_date")
+    first, last = touches.agg(F.min(day), F.max(day)).first()
+    return None if first is None else (first, last)
+
+
+def in_reach(
+    events: DataFrame, at: str, period: tuple[date, date] | None, days: int
+) -> DataFrame:
+    """Events from the first touch to ``days`` after the last one.
+
+    Both ends are constants compared with the stored column, so that the scan of the events
+    skips the partitions and row groups outside.
+    """
+    if period is None:
+        return events.where(F.lit(False))
+    first, last = period
+    end = last + timedelta(days=days + 1)
+    return events.where((F.col(at) >= F.lit(first)) & (F.col(at) < F.lit(end)))
+
+
 def attribute_orders(visitors: DataFrame, raw_orders: DataFrame, days: int) -> DataFrame:
     """Orders placed within ``days`` of the visitor's first touch, with their cell.
 
@@ -22,7 +46,8 @@ def attribute_orders(visitors: DataFrame, raw_orders: DataFrame, days: int) -> D
     to be gathered to count them. The counted visitors are staged: a join of two tables is
     one in which Spark splits a visitor with very many orders over several tasks.
     """
-    orders = raw_orders.withColumn("order_day", F.to_date("order_date"))
+    near = in_reach(raw_orders, "order_date", touch_period(visitors), days)
+    orders = near.withColumn("order_day", F.to_date("order_date"))
     touched = visitors.select(
         "visitor_id", "test_id", *CELL_COLUMNS, F.to_date("touch_date").alias("touch_date")
     )
@@ -54,16 +79,24 @@ def attribute_credits(orders: DataFrame, raw_credits: DataFrame, drop_reorders:
     return credited.join(ordering, "visitor_id", "left_semi")
 
 
-def contacts_after_touch(touches: DataFrame, raw_contacts: DataFrame, days: int) -> DataFrame:
+def contacts_after_touch(
+    touches: DataFrame,
+    raw_contacts: DataFrame,
+    days: int,
+    period: tuple[date, date] | None = None,
+) -> DataFrame:
     """Contacts of a shopper within ``days`` after a touch, with the columns of ``touches``.
 
+    ``period`` is that of the touches, or a longer one, if the caller knows it.
+
     Time is cut into spans as long as the window. A contact can then only match touches of
     its own span and the one before, so the span becomes part of the join key: a busy
     shopper is spread over many keys, and rows far apart in time never meet.
     """
     span = days + 1
+    near = in_reach(raw_contacts, "contact_ts", period or touch_period(touches), days)
     contacts = (
-        raw_contacts.select(
+        near.select(
             "shopper_key", "contact_id", F.to_date("contact_ts").alias("contact_day")
         )
         .withColumn("_day", F.unix_date("contact_day"))

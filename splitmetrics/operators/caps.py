@@ -18,7 +18,6 @@ def cap_thresholds(population: Population, include_alternate: bool) -> DataFrame
     return exact_quantiles(
         population.ordering("visitor", include_alternate),
         {"booking_usd": [config.bookings_high], "gm_usd": [config.gm_low, config.gm_high]},
-        rows=population.order_row_count,
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from splitmetrics.config import ALL_DIMENSIONS, ExperimentConfig
@@ -34,23 +34,6 @@ def traffic(visitors: DataFrame) -> DataFrame:
     )
 
 
-def joined_population(visitors: DataFrame, orders: DataFrame, config: ExperimentConfig) -> DataFrame:
-    """Every eligible visitor with order totals, zero-filled, and the ``ordered`` flag."""
-    eligible = with_constraint(visitors, config.visitor_constraint).where(
-        filters.hopper_at_most(config.max_hopper_level)
-        & filters.exposure(config.exposed_only)
-        & filters.not_alternate()
-    )
-    totals = rollups.visitor_totals(filters.within_days(orders, config.days_to_consider))
-    return eligible.join(totals, "visitor_id", "left").withColumns(
-        {
-            "booking_usd": F.coalesce("booking_usd", F.lit(0.0)),
-            "gm_usd": F.coalesce("gm_usd", F.lit(0.0)),
-            "ordered": F.col("order_count").isNotNull().cast("int"),
-        }
-    )
-
-
 class Population:
     """Eligible visitors (hoppers and unexposed visitors removed) and their order totals."""
 
@@ -80,13 +63,20 @@ class Population:
     def _traffic(self) -> DataFrame:
         if self._traffic_counts is not None:
             return self._traffic_counts
-        return stage(traffic(self._kept), "traffic")
+        return traffic(self._kept)
 
-    def counts(self, *keys: str, include_alternate: bool = False) -> DataFrame:
-        """Visitors by cell and further keys; names are those of the cell."""
-        eligible = self._traffic.where(self._eligible)
-        if not include_alternate:
-            eligible = eligible.where(filters.not_alternate())
+    @property
+    def taking_part(self) -> Column:
+        """Not an alternate control, unless it is the one compared with."""
+        return filters.not_alternate() | (F.col("test_sub_id") == self.config.control_id)
+
+    def counts(self, *keys: str, alternate_as_control: bool = False) -> DataFrame:
+        """Visitors by cell and further keys; names are those of the cell.
+
+        The alternate control is left out, unless it may be the control and is.
+        """
+        chosen = self.taking_part if alternate_as_control else filters.not_alternate()
+        eligible = self._traffic.where(self._eligible & chosen)
         return eligible.groupBy("test_sub_id", *keys).agg(
             F.min("test_name").alias("test_name"),
             F.min("test_sub_name").alias("test_sub_name"),
@@ -94,28 +84,24 @@ class Population:
             F.sum("valid_visitors").alias("valid_visitors"),
         )
 
-    @cached_property
-    def profile(self) -> DataFrame:
-        """Order totals of all visitors with orders in the window, eligible or not, staged."""
-        return stage(rollups.order_profile(self.orders), "profile")
+    @property
+    def last_first_order(self) -> Column:
+        """The latest first order of any touch, of ineligible visitors as well."""
+        return rollups.touch_totals(self.orders).agg(F.max("first_order_date")).scalar()
 
     @cached_property
     def order_rows(self) -> DataFrame:
         """Order totals of the eligible visitors, with the visitor's attributes, staged.
 
-        Both sides of this join are tables: it is a broadcast join when few visitors order,
-        so that the visitors are not shuffled, and otherwise one that splits hot keys.
+        The profile has a few rows for a visitor at most and is partitioned by visitor already; it is
+        broadcast if it turns out small, so that the visitors are not shuffled.
         """
         visitor_columns = dict.fromkeys([*CELL_COLUMNS, "touch_date", *self.dimensions])
         eligible = self.visitors.select("visitor_id", *visitor_columns).withColumn(
             "touch_date", F.to_date("touch_date")
         )
-        return stage(self.profile.join(eligible, "visitor_id"), "order_rows")
-
-    @cached_property
-    def order_row_count(self) -> int:
-        """Rows of ``order_rows``: the size bound of everything selected from it."""
-        return self.order_rows.count()
+        profile = rollups.order_profile(self.orders)
+        return stage(profile.join(eligible, "visitor_id"), "order_rows")
 
     def ordering(self, grain: str, include_alternate: bool = False) -> DataFrame:
         """Eligible visitors with orders in the window, one row per total of the grain."""

@@ -1,129 +1,117 @@
-"""Exact quantiles with linear interpolation (position (n - 1) * p, nulls ignored)."""
+"""Exact quantiles with linear interpolation (position (n - 1) * p)."""
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Sequence
-from math import ceil, floor, inf
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from splitmetrics.sources.workspace import stage
 
-# Up to this many values, the value counts of a column are small enough for one task.
-ONE_TASK_ROWS = 1_000_000
-_VALUES_PER_BUCKET = 1_000_000
-_BUCKET_LIMITS = (16, 2048)
 
-
-def exact_quantiles(
-    frame: DataFrame,
-    levels: dict[str, Sequence[float]],
-    rows: int | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
+def exact_quantiles(frame: DataFrame, levels: dict[str, Sequence[float]]) -> DataFrame:
     """One row with, for each column, the array of its quantiles at the given levels.
 
-    ``rows`` is an upper bound on the size of ``frame`` if the caller knows one, else it
-    is counted. Beyond ``one_task_rows`` the quantiles are selected by rank from the
-    distributed value counts instead of in a single aggregation; results are the same.
-    ``frame`` is scanned more than once, so it should be a table or a staged frame.
+    Nulls and NaN are not values; a column without any has a null instead of an array. Every size takes the same
+    way, and the numbers are those of Spark's ``percentile``: where the two values around a position
+    are equal, the quantile is that value.
+
+    Values of all columns collapse into counts before the one shuffle that sorts them into ranges, which are
+    staged; a value that a third of the rows share is one row by then. Ranks follow from the exact
+    numbers of rows in each range, and only ranges that hold a wanted rank are sorted.
     """
-    if rows is None:
-        rows = frame.count()
-    if rows <= one_task_rows:
-        return frame.agg(
-            *[F.percentile(column, list(points)).alias(column) for column, points in levels.items()]
-        )
-    found = {
-        column: _from_value_counts(frame, column, list(points), one_task_rows)
-        for column, points in levels.items()
-    }
-    return frame.sparkSession.range(1).select(
-        *[one.scalar().alias(column) for column, one in found.items()]
+    ranges = stage(_value_ranges(frame, list(levels)), "value_ranges")
+    hits = _values_at_ranks(ranges, levels)
+    gathered = hits.agg(
+        *[_of_name(name, F.max, F.col("total")).alias(f"{name} total") for name in levels],
+        *[
+            F.map_from_entries(_of_name(name, F.collect_list, F.struct("rank", "value"))).alias(f"{name} at")
+            for name in levels
+        ],
+    )
+    return gathered.select(
+        *[
+            F.when(F.col(f"`{name} total`").isNotNull(), _interpolated(name, points)).alias(name)
+            for name, points in levels.items()
+        ]
     )
 
 
-def _from_value_counts(
-    frame: DataFrame, column: str, points: list[float], one_task_rows: int
-) -> DataFrame:
-    """Quantiles of one column from the copies of each distinct value.
+def _of_name(name: str, aggregate, value: Column) -> Column:
+    return aggregate(F.when(F.col("name") == name, value))
 
-    Equal values collapse into counts on the map side, so a value that a third of the
-    rows share is one row afterwards.
-    """
-    counts = stage(
-        frame.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
-        .agg(F.count("*").alias("copies")),
-        "value_counts",
+
+def _value_ranges(frame: DataFrame, names: list[str]) -> DataFrame:
+    """name, value and copies of each value, with the number of the range it was sorted into."""
+    entries = F.array(
+        *[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in names]
+    )
+    counts = (
+        frame.select(F.inline(entries))
+        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        .groupBy("name", "value")
+        .agg(F.count("*").alias("copies"))
     )
-    distinct = counts.count()
-    if distinct <= one_task_rows:
-        return counts.agg(F.percentile("value", points, F.col("copies")))
-    return _select_by_rank(counts, distinct, points)
+    return counts.repartitionByRange("name", "value").withColumn("range", F.spark_partition_id())
 
 
-def _select_by_rank(counts: DataFrame, distinct: int, points: list[float]) -> DataFrame:
-    """Quantiles from value counts that do not fit one task.
+def _per_name(levels: dict[str, Sequence[float]], of) -> Column:
+    chosen = F.lit(None)
+    for name, points in levels.items():
+        chosen = F.when(F.col("name") == name, of(points)).otherwise(chosen)
+    return chosen
 
-    The counts are cut into value ranges of roughly equal numbers of distinct values.
-    Where the cuts fall affects only how evenly the work is spread, so they may come from
-    a sample; ranks are taken from the exact counts of every range. Only the ranges that
-    hold a wanted rank are then sorted, each on its own.
-    """
-    buckets = min(max(distinct // _VALUES_PER_BUCKET, _BUCKET_LIMITS[0]), _BUCKET_LIMITS[1])
-    cuts = (
-        counts.sample(fraction=min(1.0, 100 * buckets / distinct), seed=1)
-        .agg(F.percentile_approx("value", [i / buckets for i in range(1, buckets)], 4 * buckets))
-        .first()[0]
-    )
-    splits = [-inf, *sorted(set(cuts or [0.0])), inf]
-    ranged = Bucketizer(splits=splits, inputCol="value", outputCol="range")
 
-    sizes = dict(
-        ranged.transform(counts).groupBy("range").agg(F.sum("copies").alias("copies")).collect()
-    )
-    order = sorted(sizes)
-    starts, total = [], 0
-    for bucket in order:
-        starts.append(total)
-        total += sizes[bucket]
-
-    positions = [(total - 1) * p for p in points]
-    ranks = sorted({rounded(position) for position in positions for rounded in (floor, ceil)})
-    holding = sorted({bisect_right(starts, rank) - 1 for rank in ranks})
-
-    in_reach = F.lit(False)
-    start = F.lit(None).cast("long")
-    for i in holding:
-        low, high = splits[int(order[i])], splits[int(order[i]) + 1]
-        in_reach = in_reach | ((F.col("value") >= low) & (F.col("value") < high))
-        start = F.when(F.col("range") == order[i], starts[i]).otherwise(start)
-
-    within = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        ranged.transform(counts.where(in_reach))
-        .withColumn("upto", F.sum("copies").over(within))
-        .withColumn("upto", F.col("upto") + start)
+def _positions(points: Sequence[float], total: str = "total") -> Column:
+    return F.array(*[(F.col(total) - 1) * F.lit(float(p)) for p in points])
+
+
+def _values_at_ranks(ranges: DataFrame, levels: dict[str, Sequence[float]]) -> DataFrame:
+    """The value at each wanted rank, with the total of rows of its name."""
+    in_order = Window.partitionBy("name").orderBy("range")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    positions = _per_name(levels, _positions)
+    ranks = F.array_distinct(
+        F.concat(
+            F.transform(positions, lambda x: F.floor(x)), F.transform(positions, lambda x: F.ceil(x))
+        )
     )
-    at_rank = {
-        rank: F.max(
-            F.when((F.col("upto") > rank) & (F.col("upto") - F.col("copies") <= rank), F.col("value"))
+    sizes = ranges.groupBy("name", "range").agg(F.sum("copies").alias("size"))
+    holding = (
+        sizes.withColumns(
+            {
+                "start": F.coalesce(F.sum("size").over(before), F.lit(0)),
+                "total": F.sum("size").over(everything),
+            }
+        )
+        .withColumn(
+            "ranks",
+            F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("size"))),
         )
-        for rank in ranks
-    }
-    return placed.agg(F.array(*[_between(position, at_rank) for position in positions]))
+        .where(F.size("ranks") > 0)
+    )
+    within = Window.partitionBy("name", "range").orderBy("value")
+    upto = F.sum("copies").over(within.rowsBetween(Window.unboundedPreceding, 0))
+    placed = ranges.join(holding, ["name", "range"]).withColumn("upto", F.col("start") + upto)
+    here = F.filter(
+        "ranks", lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("copies"))
+    )
+    return placed.select("name", "total", "value", F.explode(here).alias("rank"))
+
+
+def _interpolated(name: str, points: Sequence[float]) -> Column:
+    at = F.col(f"`{name} at`")
 
+    def between(position: Column) -> Column:
+        low, high = F.floor(position), F.ceil(position)
+        below, above = at[low], at[high]
+        mixed = (high - position) * below + (position - low) * above
+        return F.when(below == above, below).otherwise(mixed)
 
-def _between(position: float, at_rank: dict[int, Column]) -> Column:
-    low, high = floor(position), ceil(position)
-    if low == high:
-        return at_rank[low]
-    return (high - position) * at_rank[low] + (position - low) * at_rank[high]
+    return F.transform(_positions(points, f"`{name} total`"), between)
 
 
 def upper_capped(value: Column, cap: float) -> Column:

@@ -35,14 +35,6 @@ def _totals():
     ]
 
 
-def visitor_totals(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("visitor_id").agg(*_totals())
-
-
-def cell_totals(orders: DataFrame) -> DataFrame:
-    return orders.groupBy(*CELL_KEYS).agg(*_totals())
-
-
 def touch_totals(orders: DataFrame) -> DataFrame:
     first_order = F.to_date(F.min("order_date")).alias("first_order_date")
     keyed = orders.withColumn("touch_date", F.to_date("touch_date"))

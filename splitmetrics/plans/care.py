@@ -9,7 +9,7 @@ from splitmetrics.config import ExperimentConfig
 from splitmetrics.functions import significance as sig
 from splitmetrics.functions.moments import count_true
 from splitmetrics.operators import filters
-from splitmetrics.operators.attribution import contacts_after_touch
+from splitmetrics.operators.attribution import contacts_after_touch, touch_period
 from splitmetrics.operators.pairing import beside_control
 
 _CELL = ("test_sub_id", "test_sub_name")
@@ -112,7 +112,9 @@ def contact_rate_from_raw(
     touches = identified.select(
         *_CELL, "shopper_key", F.to_date("touch_date").alias("touch_date")
     ).distinct()
-    contacted = contacts_after_touch(touches, raw_contacts, config.contact_days)
+    contacted = contacts_after_touch(
+        touches, raw_contacts, config.contact_days, touch_period(visitors)
+    )
     return _contact_rate(
         identified, contacted.withColumnRenamed("shopper_key", "contact_shopper"), config
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from splitmetrics.config import ALTERNATE_CONTROL
 from splitmetrics.functions import significance as sig
 from splitmetrics.functions.moments import (
     count_true,
@@ -35,9 +34,12 @@ _KEYS = ("cohort", "dimension", "test_sub_id")
 
 
 def by_dimension(rows: DataFrame, names: tuple[str, ...], *kept: str) -> DataFrame:
-    """Each row once per dimension, as (cohort, dimension value); narrow, and not shuffled."""
+    """Each row once per dimension, as (cohort, dimension value); narrow, and not shuffled.
+
+    Meant for rows that are grouped by the dimensions already.
+    """
     entries = ", ".join(
-        f"named_struct('cohort', '{name}', 'dimension', cast({name} as string))" for name in names
+        f"named_struct('cohort', '{name}', 'dimension', cast(`{name}` as string))" for name in names
     )
     return rows.selectExpr(*kept, f"inline(array({entries}))")
 
@@ -48,19 +50,22 @@ def cohort_arms(population: Population) -> DataFrame:
     The caps are set with the alternate control still in. Buyer statistics leave out
     missing money instead of counting it as zero.
     """
-    config = population.config
-    names = tuple(config.cohort_dimensions)
-    taking_part = (F.col("control_test") != ALTERNATE_CONTROL) | (
-        F.col("test_sub_id") == config.control_id
-    )
-    visitors = (
-        by_dimension(population.visitors.where(taking_part), names, "test_sub_id", "visitor_id")
-        .groupBy(*_KEYS)
+    names = tuple(population.config.cohort_dimensions)
+    taking_part = population.taking_part
+    # Visitors are counted before they are listed once per dimension.
+    counted = (
+        population.visitors.where(taking_part)
+        .groupBy("test_sub_id", *names)
         .agg(
             F.count("*").alias("visitors"),
             count_true("visitor_id > 0").alias("count"),
         )
     )
+    visitors = (
+        by_dimension(counted, names, "test_sub_id", "visitors", "count")
+        .groupBy(*_KEYS)
+        .agg(F.sum("visitors").alias("visitors"), F.sum("count").alias("count"))
+    )
     measures = ("test_sub_id", "order_count", "booking_usd", "gm_usd")
     bought = (
         by_dimension(
@@ -105,7 +110,7 @@ def cohort_summary(population: Population) -> DataFrame:
         arms,
         ("cohort", "dimension"),
         figures,
-        population.counts(),
+        population.counts(alternate_as_control=True),
         ("test_name", "test_sub_name"),
         population.config.control_id,
     ).fillna(

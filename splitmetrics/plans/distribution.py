@@ -74,10 +74,11 @@ def dimension_counts(visitors: DataFrame) -> DataFrame:
     """Non-hoppers per cell and dimension value, the alternate control left out."""
     kept = visitors.where(filters.not_alternate() & (F.col("is_hopper") == 0))
     value = F.substring("dimension", 1, VALUE_WIDTH).alias("value")
+    counted = kept.groupBy("test_sub_name", *SHARE_DIMENSIONS).agg(F.count("*").alias("visitors"))
     return (
-        by_dimension(kept, SHARE_DIMENSIONS, "test_sub_name")
+        by_dimension(counted, SHARE_DIMENSIONS, "test_sub_name", "visitors")
         .groupBy("test_sub_name", F.col("cohort").alias("dimension"), value)
-        .agg(F.count("*").alias("no_visitor"))
+        .agg(F.sum("visitors").alias("no_visitor"))
         .withColumn(
             "combined_name",
             F.concat("dimension", F.lit(" : "), F.coalesce("value", F.lit(MISSING_VALUE))),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from time import perf_counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from splitmetrics import schema
 from splitmetrics.config import EMAIL_TEST, SITE_TEST, ExperimentConfig
@@ -15,8 +15,8 @@ from splitmetrics.plans import care, distribution, reports, series, sweep
 from splitmetrics.plans.cohort import cohort_summary
 from splitmetrics.plans.summary import summary
 from splitmetrics.sources.results import append_run_history, cutoff_frame, save_frames
-from splitmetrics.sources.tables import with_constraint
-from splitmetrics.sources.workspace import stage
+from splitmetrics.sources.tables import RawTableNames, TableNames, read_table, with_constraint
+from splitmetrics.sources.workspace import Workspace, stage
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,11 @@ class RawEvents:
     credits: DataFrame
     contacts: DataFrame
 
+    @classmethod
+    def load(cls, spark: SparkSession, names: RawTableNames, folder: str | None = None) -> RawEvents:
+        """The raw tables of these names, from the catalog or a folder."""
+        return cls(*[read_table(spark, getattr(names, f.name), folder) for f in fields(names)])
+
 
 @dataclass(frozen=True)
 class InputTables:
@@ -38,18 +43,56 @@ class InputTables:
     contacts: DataFrame | None = None
     raw: RawEvents | None = None
 
+    @classmethod
+    def load(
+        cls,
+        spark: SparkSession,
+        config: ExperimentConfig,
+        names: TableNames | None = None,
+        folder: str | None = None,
+        raw: RawTableNames | None = None,
+    ) -> InputTables:
+        """The tables of the experiment's (type, id), from the catalog or a folder.
+
+        With ``raw``, visitors are read by the experiment and the events by these names.
+        The visitor constraint is applied where a run applies it, not here.
+        """
+        names = names or TableNames(config.test_type_id, config.test_id)
+        visitors = read_table(spark, names.visitors, folder)
+        if raw is not None:
+            return cls(visitors, raw=RawEvents.load(spark, raw, folder))
+        parts = (names.orders, names.credits, names.contacts)
+        return cls(visitors, *[read_table(spark, name, folder) for name in parts])
+
 
 @dataclass
 class RunResult:
     """Result frames by name, report frames by name, and seconds per stage.
 
-    ``complete`` is false if the run stopped after the sweeps for want of cut-offs.
+    ``skipped`` names the analyses that were left out for want of cut-offs or of their table, and
+    ``complete`` says that there are none. ``close`` deletes what the run staged; the frames
+    cannot be read any more then.
     """
 
     frames: dict[str, DataFrame] = field(default_factory=dict)
     reports: dict[str, DataFrame] = field(default_factory=dict)
     timings: dict[str, float] = field(default_factory=dict)
-    complete: bool = False
+    skipped: list[str] = field(default_factory=list)
+    workspace: Workspace | None = None
+
+    @property
+    def complete(self) -> bool:
+        return not self.skipped
+
+    def close(self) -> None:
+        if self.workspace is not None:
+            self.workspace.close()
+
+    def __enter__(self) -> RunResult:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
 
 class _Stopwatch:
@@ -74,10 +117,23 @@ def run(
 
     Each result frame is staged when its stage is done, so that the timings are those of
     the work, and reports, saving and the caller's reads do not repeat it. Nothing is
-    saved in demo mode.
+    saved in demo mode. Visitors with contradicting labels or repeated ids are refused.
     """
+    result = RunResult(workspace=Workspace(tables.visitors.sparkSession))
+    with result.workspace.active():
+        _run(tables, config, output, history, result)
+    return result
+
+
+def _run(
+    tables: InputTables,
+    config: ExperimentConfig,
+    output: str | None,
+    history: str | None,
+    result: RunResult,
+) -> None:
     schema.validate(tables.visitors, schema.VISITORS, "visitors")
-    result = RunResult()
+    schema.check_visitors(tables.visitors)
     clock = _Stopwatch(result.timings)
 
     def keep(name: str, frame: DataFrame) -> DataFrame:
@@ -87,11 +143,17 @@ def run(
     attribute = config.rerun_attribution and tables.raw is not None
     if attribute:
         schema.validate(tables.raw.orders, schema.RAW_ORDERS, "raw orders")
+        schema.validate(tables.raw.credits, schema.RAW_CREDITS, "raw credits")
+        schema.validate(tables.raw.contacts, schema.RAW_CONTACTS, "raw contacts")
         orders = stage(
             attribute_orders(tables.visitors, tables.raw.orders, config.days_to_order), "orders"
         )
     elif tables.orders is not None:
         orders = schema.validate(tables.orders, schema.ORDERS, "orders")
+        if tables.credits is not None:
+            schema.validate(tables.credits, schema.CREDITS, "credits")
+        if tables.contacts is not None:
+            schema.validate(tables.contacts, schema.CONTACTS, "contacts")
     else:
         raise ValueError("orders are needed, attributed or raw")
     clock.lap("ordersproc")
@@ -127,7 +189,8 @@ def run(
         result.reports[name] = reports.significant_points(result.frames[name])
     clock.lap("outlier")
     if not config.has_cutoffs:
-        return result
+        result.skipped += ["summary", "cohort", "credit", "contact", "daily", "cumulative"]
+        return
     clock.lap("userentry")
 
     result.reports["summary"] = reports.summary_report(keep("summary", summary(population)))
@@ -147,7 +210,6 @@ def run(
     result.reports["cumulative"] = reports.series_report(cumulative, "dateVariable")
     clock.lap("cumulative")
 
-    result.complete = True
     if not config.demo_mode:
         spark = tables.visitors.sparkSession
         if output:
@@ -155,11 +217,10 @@ def run(
             save_frames(result.frames | cutoffs, output, config)
         if history:
             append_run_history(spark, history, config, result.timings)
-    return result
 
 
 def _care(tables, orders, config, attribute, keep, result) -> None:
-    """Credit and contact rates, each only where its table is there."""
+    """Credit and contact rates; one whose table is missing is noted as skipped."""
     if attribute:
         credits = attribute_credits(orders, tables.raw.credits, config.drop_reorders)
         contact = care.contact_rate_from_raw(tables.visitors, tables.raw.contacts, config)
@@ -173,5 +234,9 @@ def _care(tables, orders, config, attribute, keep, result) -> None:
     if credits is not None:
         rates = keep("credit", care.credit_rate(tables.visitors, orders, credits, config))
         result.reports["credit"] = reports.care_report(rates, "credit_rate")
+    else:
+        result.skipped.append("credit")
     if contact is not None:
         result.reports["contact"] = reports.care_report(keep("contact", contact), "contact_rate")
+    else:
+        result.skipped.append("contact")

@@ -61,7 +61,7 @@ def date_spine(population: Population) -> DataFrame:
     after it are never counted.
     """
     first = population.counts("touch_date").agg(F.min("touch_date")).scalar()
-    last = population.profile.agg(F.max("first_order_date")).scalar()
+    last = population.last_first_order
     days = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 day")))
     return population.counts().select(
         "test_sub_id", "test_sub_name", F.explode(days).alias("date")

@@ -52,9 +52,7 @@ def booking_histogram(population: Population) -> DataFrame:
 
 def gm_low_curve(population: Population) -> DataFrame:
     """Margin at the low-tail quantile levels, one row each."""
-    curve = exact_quantiles(
-        buyers(population), {"gm_usd": LOW_TAIL}, rows=population.order_row_count
-    )
+    curve = exact_quantiles(buyers(population), {"gm_usd": LOW_TAIL})
     levels = F.array(*[F.lit(level) for level in LOW_TAIL])
     points = F.transform(
         "gm_usd", lambda amount, i: F.struct(amount.alias("amount"), F.get(levels, i).alias("quantile_point"))
@@ -168,9 +166,7 @@ def _sweep(population: Population, metric: str, value: str, caps: list[float]) -
 
 def _caps(population: Population, measure: str, levels: Sequence[float]) -> list[float]:
     """Quantiles of the buyers' totals, as numbers; without buyers their values do not matter."""
-    found = exact_quantiles(
-        buyers(population), {measure: levels}, rows=population.order_row_count
-    ).first()[measure]
+    found = exact_quantiles(buyers(population), {measure: levels}).first()[measure]
     return found or [0.0] * len(levels)
 
 

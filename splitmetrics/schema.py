@@ -97,6 +97,16 @@ def validate(table: DataFrame, expected: T.StructType, name: str) -> DataFrame:
     return table
 
 
+def check_visitors(visitors: DataFrame) -> None:
+    """Raise if a cell has several names or roles, or a visitor several rows."""
+    cells = [row["test_sub_id"] for row in conflicting_labels(visitors).limit(5).collect()]
+    if cells:
+        raise ValueError(f"visitors: cells with more than one name or role: {sorted(cells)}")
+    ids = [row["visitor_id"] for row in repeated_visitors(visitors).limit(5).collect()]
+    if ids:
+        raise ValueError(f"visitors: ids on more than one row, among them {sorted(ids)}")
+
+
 def conflicting_labels(visitors: DataFrame) -> DataFrame:
     """Cells whose id carries more than one name or role; empty in sound data."""
     labels = visitors.groupBy("test_sub_id").agg(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from splitmetrics.config import ExperimentConfig
+from splitmetrics.sources.workspace import remove
 
 # The timed stages of a run, in order.
 STAGES = (
@@ -37,9 +40,24 @@ RUN_HISTORY = T.StructType(
 
 
 def save_frame(frame: DataFrame, base: str, name: str, config: ExperimentConfig) -> None:
-    """Write one result frame, replacing only this experiment's partition."""
-    partition = f"test_type_id={config.test_type_id}/test_id={config.test_id}"
-    frame.write.mode("overwrite").parquet(f"{base}/{name}/{partition}")
+    """Write one result frame, replacing only this experiment's partition.
+
+    The new rows are written beside it first, so a write that fails leaves the old ones.
+    """
+    spark = frame.sparkSession
+    target = f"{base}/{name}/{_partition(config)}"
+    fresh = f"{base}/{name}/_writing-{uuid4().hex}"
+    frame.write.parquet(fresh)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    remove(spark, target)
+    files.mkdirs(path(target).getParent())
+    if not files.rename(path(fresh), path(target)):
+        raise OSError(f"{fresh} could not be moved to {target}")
+
+
+def _partition(config: ExperimentConfig) -> str:
+    return f"test_type_id={config.test_type_id}/test_id={config.test_id}"
 
 
 def save_frames(frames: dict[str, DataFrame], base: str, config: ExperimentConfig) -> None:
@@ -48,10 +66,8 @@ def save_frames(frames: dict[str, DataFrame], base: str, config: ExperimentConfi
 
 
 def load_frame(spark: SparkSession, base: str, name: str, config: ExperimentConfig) -> DataFrame:
-    """The saved frame of one experiment; the partition filter prunes the others."""
-    saved = spark.read.parquet(f"{base}/{name}")
-    chosen = (F.col("test_type_id") == config.test_type_id) & (F.col("test_id") == config.test_id)
-    return saved.where(chosen).drop("test_type_id", "test_id")
+    """The saved frame of one experiment; nothing of the others is listed or read."""
+    return spark.read.parquet(f"{base}/{name}/{_partition(config)}")
 
 
 def cutoff_frame(spark: SparkSession, config: ExperimentConfig) -> DataFrame:

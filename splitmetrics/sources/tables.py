@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,16 +41,30 @@ class TableNames:
         return self._name(self.visitor_prefix, "_contact_level")
 
 
+@dataclass(frozen=True)
+class RawTableNames:
+    """Names of the tables of raw events, which experiments share."""
+
+    orders: str = "raw_orders"
+    credits: str = "raw_credits"
+    contacts: str = "raw_contacts"
+
+
 def read_table(spark: SparkSession, name: str, folder: str | None = None) -> DataFrame:
     """A catalog table, or the parquet table of that name in ``folder``."""
     return spark.read.parquet(f"{folder}/{name}") if folder else spark.read.table(name)
 
 
+def condition_of(constraint: str | None) -> str:
+    """The SQL condition of a constraint, which may begin with AND; empty if there is none."""
+    text = (constraint or "").strip()
+    leading = re.match(r"and\b", text, re.IGNORECASE)
+    return text[leading.end() :].strip() if leading else text
+
+
 def with_constraint(table: DataFrame, constraint: str | None) -> DataFrame:
     """Keep the rows that satisfy a SQL condition; a leading AND is accepted."""
-    condition = (constraint or "").strip()
-    if condition[:4].lower() == "and ":
-        condition = condition[4:]
+    condition = condition_of(constraint)
     return table.where(F.expr(condition)) if condition else table
 
 
@@ -59,11 +75,16 @@ def chunk_predicates(key: str, chunks: int, constraint: str | None = None) -> li
     """
     if chunks < 1:
         raise ValueError("chunks must be at least 1")
-    condition = (constraint or "").strip()
-    if condition and condition[:4].lower() != "and ":
-        condition = f"and {condition}"
+    condition = condition_of(constraint)
+    also = f" and ({condition})" if condition else ""
     remainder = f"(({key} % {chunks}) + {chunks}) % {chunks}"
-    return [f"{remainder} = {i} {condition}".strip() for i in range(chunks)]
+    return [f"{remainder} = {i}{also}" for i in range(chunks)]
+
+
+def read_chunks(table: DataFrame, key: str, chunks: int, constraint: str | None = None) -> DataFrame:
+    """The chunks of a table, read one by one and appended."""
+    parts = [table.where(F.expr(p)) for p in chunk_predicates(key, chunks, constraint)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_jdbc_chunked(
@@ -87,7 +108,6 @@ def read_jdbc_chunked(
 def save_bucketed(table: DataFrame, name: str, buckets: int, key: str = "visitor_id") -> None:
     """Save a table bucketed on the join key.
 
-    With visitors and orders bucketed alike, neither the order roll-up nor its join to
-    the visitors shuffles a table.
+    With orders bucketed like this, the roll-up to the order profile shuffles nothing.
     """
     table.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(name)

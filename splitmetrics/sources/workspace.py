@@ -3,30 +3,48 @@
 A staged frame is written once as parquet and read back, so that several passes over it
 do not repeat the joins behind it, later scans read only the columns they use, and a lost
 executor costs a re-read instead of the whole lineage.
+
+What is staged while a ``Workspace`` is active belongs to it and goes when it is closed; frames that
+read it must not be used after that. Without one, staged files stay until the session ends in local mode, and on a cluster until the
+folder's lifetime rule removes them.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_active: ContextVar[Workspace | None] = ContextVar("workspace", default=None)
 
 
 @cache
 def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"splitmetrics-{application}-")
+    folder = tempfile.mkdtemp(prefix=f"splitmetrics-{application}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a local session without one gets its own."""
     folder = spark.conf.get(_SETTING, None)
+    local = spark.conf.get("spark.master", "").startswith("local")
     if folder:
+        if folder.startswith("file:") and not local:
+            warnings.warn(
+                f"{_SETTING} is {folder}: every executor has to reach it there", stacklevel=2
+            )
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not local:
         raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
     return _local_folder(_application(spark))
 
@@ -36,7 +54,39 @@ def _application(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/splitmetrics/{_application(spark)}/{label}-{uuid4().hex}"
+    workspace = _active.get()
+    folder = workspace.folder if workspace else _session_folder(spark)
+    return f"{folder}/{label}-{uuid4().hex}"
+
+
+def _session_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/splitmetrics/{_application(spark)}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Workspace:
+    """A folder for what one piece of work stages; ``folder`` defaults to one in the shared folder."""
+
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        self.spark = spark
+        self.folder = f"{folder or _session_folder(spark)}/work-{uuid4().hex}"
+
+    @contextmanager
+    def active(self) -> Iterator[Workspace]:
+        """What is staged in this context goes to this workspace."""
+        token = _active.set(self)
+        try:
+            yield self
+        finally:
+            _active.reset(token)
+
+    def close(self) -> None:
+        remove(self.spark, self.folder)
 
 
 def stage(frame: DataFrame, label: str) -> DataFrame:

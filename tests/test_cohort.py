@@ -131,3 +131,13 @@ def test_caps_are_set_with_the_alternate_control_in(spark):
 )
 def test_z_buckets(spark, z, bucket):
     assert spark.createDataFrame([(z,)], "z double").select(z_bucket("z")).first()[0] == bucket
+
+
+def test_a_control_marked_as_alternate_keeps_its_labels(spark):
+    people = [visitor(i, 100 + i % 2, role="AC" if i % 2 == 0 else None) for i in range(1, 21)]
+    people += [visitor(30 + i, 102, role="AC") for i in range(4)]
+    settings = config(cohort_dimensions=("region",))
+    found = cohort_summary(Population(visitors(spark, people), orders(spark, [order(1, 5)]), settings))
+    (row,) = found.collect()
+    assert (row.exp_name, row.c_name, row.t_name) == ("EXP", "cell_100", "cell_101")
+    assert (row.c_count, row.t_count) == (10, 10)

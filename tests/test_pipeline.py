@@ -1,3 +1,4 @@
+import os
 from dataclasses import replace
 
 import pytest
@@ -8,6 +9,7 @@ from splitmetrics import InputTables, Population, RawEvents, run
 from splitmetrics.plans.summary import summary
 from splitmetrics.schema import RAW_CREDITS, RAW_ORDERS
 from splitmetrics.sources import results
+from splitmetrics.sources.tables import TableNames
 
 DISTRIBUTION = {"visitors_by_cell", "visitors_by_date", "dimension_share", "evenness"}
 SWEEPS = {"gm_sweep", "gm_low_curve", "booking_sweep", "booking_histogram"}
@@ -60,7 +62,8 @@ def test_demo_mode_saves_nothing(spark, tmp_path):
     result = run(
         tables(spark, credits=None, contacts=None), settings, str(output), str(output / "history")
     )
-    assert result.complete and not output.exists()
+    assert result.skipped == ["credit", "contact"] and not result.complete
+    assert not output.exists()
     assert set(result.frames) == DISTRIBUTION | SWEEPS | ANALYSES - {"credit", "contact"}
 
 
@@ -93,6 +96,49 @@ def test_run_from_raw_events_equals_run_from_attributed_tables(spark):
         assert sorted(map(str, one.collect())) == sorted(map(str, other.collect())), name
 
 
+def test_contradicting_visitors_are_refused(spark):
+    people = [visitor(1), visitor(2, 101), visitor(3, 101, test_sub_name="other")]
+    with pytest.raises(ValueError, match=r"more than one name or role: \[101\]"):
+        run(tables(spark, visitors=visitors(spark, people)), config())
+    with pytest.raises(ValueError, match="more than one row"):
+        run(tables(spark, visitors=visitors(spark, [visitor(1), visitor(1)])), config())
+    with pytest.raises(ValueError, match="credits: visitor_id is missing"):
+        run(tables(spark, credits=spark.range(3)), config())
+
+
+def test_tables_are_loaded_by_type_and_id(spark, tmp_path):
+    settings = config(test_id=7, test_type_id=3, cohort_dimensions=("region",))
+    given, names = tables(spark), TableNames(3, 7)
+    for part in ("visitors", "orders", "credits", "contacts"):
+        getattr(given, part).write.parquet(f"{tmp_path}/{getattr(names, part)}")
+    loaded = InputTables.load(spark, settings, folder=str(tmp_path))
+    with run(loaded, settings) as by_name, run(given, settings) as direct:
+        assert by_name.complete and set(by_name.frames) == set(direct.frames)
+        one, other = by_name.frames["summary"], direct.frames["summary"]
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+
+
+def test_what_a_run_staged_goes_when_it_is_closed(spark, tmp_path):
+    result = run(tables(spark), config(cohort_dimensions=("region",)))
+    files = [f.removeprefix("file://") for f in result.frames["summary"].inputFiles()]
+    assert files and all(os.path.exists(f) for f in files)
+    folder = result.workspace.folder
+    result.close()
+    assert not os.path.exists(folder)
+
+
+def test_one_analysis_needs_few_jobs_before_its_action(spark, tmp_path):
+    given = tables(spark)
+    for part in ("visitors", "orders"):
+        getattr(given, part).write.parquet(f"{tmp_path}/{part}")
+    visitor_table, order_table = (spark.read.parquet(f"{tmp_path}/{p}") for p in ("visitors", "orders"))
+    spark.sparkContext.setJobGroup("one analysis", "")
+    summary(Population(visitor_table, order_table, config()))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("one analysis")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 13
+
+
 def test_orders_are_needed(spark):
     with pytest.raises(ValueError, match="orders are needed"):
         run(tables(spark, orders=None), config())

@@ -6,9 +6,14 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from catalogue.queries import CONFIG
 from splitmetrics.operators import rollups
-from splitmetrics.operators.attribution import attribute_orders, contacts_after_touch
+from splitmetrics.operators.attribution import (
+    attribute_contacts,
+    attribute_orders,
+    contacts_after_touch,
+)
 from splitmetrics.operators.population import Population, traffic
-from splitmetrics.plans.cohort import by_dimension, cohort_arms
+from splitmetrics.plans import distribution
+from splitmetrics.plans.cohort import cohort_arms
 from splitmetrics.sources import sample_tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -71,11 +76,28 @@ def test_cohort_arms_read_only_what_they_use(spark, population):
     assert all("EqualTo(is_visitor_row,true)" in s for s in scans)
 
 
-def test_dimensions_are_spread_without_a_shuffle(spark, population):
-    rows = by_dimension(population.visitors, ("is_new", "region"), "test_sub_id")
-    counts = rows.groupBy("cohort", "dimension", "test_sub_id").agg(F.count("*"))
-    plan = plan_of(counts)
-    assert plan.index("partial_count") < plan.index("Generate")
+def test_visitors_are_counted_before_they_are_listed_by_dimension(spark, population):
+    visitors = sample_tables.visitors(spark, FOLDER)
+    for frame in (cohort_arms(population), distribution.dimension_counts(visitors)):
+        lines = plan_of(frame).splitlines()
+        first = next(k for k, line in enumerate(lines) if "Generate inline" in line and "visitors" in line)
+        assert any("partial_count(1)" in line for line in lines[first:])
+
+
+def test_raw_events_are_pruned_by_the_period_of_the_test(spark, tmp_path):
+    people = sample_tables.visitors(spark, FOLDER)
+    sample_tables.raw_orders(spark, FOLDER).write.parquet(f"{tmp_path}/orders")
+    sample_tables.raw_contacts(spark, FOLDER).write.parquet(f"{tmp_path}/contacts")
+    raw_orders, raw_contacts = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("orders", "contacts"))
+    for frame, column in (
+        (attribute_orders(people, raw_orders, 7), "order_date"),
+        (attribute_contacts(people, raw_contacts, 7), "contact_ts"),
+    ):
+        scans = [line for line in plan_of(frame).splitlines() if "PushedFilters" in line and column in line]
+        assert scans
+        for scan in scans:
+            assert f"GreaterThanOrEqual({column},2024-01-01" in scan
+            assert f"LessThan({column},2024" in scan
 
 
 def test_results_do_not_depend_on_the_number_of_partitions(spark):

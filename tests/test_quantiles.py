@@ -2,11 +2,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from splitmetrics.operators import quantiles
 from splitmetrics.operators.quantiles import exact_quantiles
 
-LEVELS = [0.0, 0.001, 0.0375, 0.25, 0.5, 0.9625, 0.99, 0.999, 1.0]
+LEVELS = [0.0, 0.001, 0.0375, 0.25, 0.5, 0.9625, 0.9675, 0.99, 0.999, 1.0]
 
 
 def samples():
@@ -14,47 +14,68 @@ def samples():
     return {
         "spread": [numbers.gauss(50, 30) for _ in range(3000)],
         "a_third_alike": [9.99] * 1000 + [numbers.uniform(0, 100) for _ in range(2000)],
+        "all_alike": [24.95] * 1007,
         "few_values": [float(numbers.randrange(4)) for _ in range(500)],
         "single": [3.5],
         "negative": [-float(i) for i in range(257)],
     }
 
 
-@pytest.fixture(params=["one task", "value counts", "by rank"])
-def limit(request, monkeypatch):
-    """Row limits that force each of the three ways to the same result."""
-    if request.param == "by rank":
-        monkeypatch.setattr(quantiles, "_VALUES_PER_BUCKET", 50)
-    return {"one task": 10**6, "value counts": 400, "by rank": 0}[request.param]
+@pytest.fixture(params=["1", "8", "61"])
+def spread(request, spark):
+    """However many ranges the values are sorted into, the numbers are the same."""
+    settings = {
+        "spark.sql.shuffle.partitions": request.param,
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def percentile(frame, column, levels):
+    return frame.agg(F.percentile(column, levels)).first()[0]
 
 
 @pytest.mark.parametrize("name", list(samples()))
-def test_equals_linear_interpolation(spark, limit, name):
+def test_equals_percentile_and_linear_interpolation(spark, spread, name):
     values = samples()[name]
-    rows = [(v,) for v in [*values, None, None]]
-    frame = spark.createDataFrame(rows, "x double")
-    found = exact_quantiles(frame, {"x": LEVELS}, one_task_rows=limit).first()["x"]
+    frame = spark.createDataFrame([(v,) for v in [*values, None, None]], "x double")
+    found = exact_quantiles(frame, {"x": LEVELS}).first()["x"]
+    assert found == percentile(frame, "x", LEVELS)
     assert found == pytest.approx(list(np.quantile(values, LEVELS)), rel=1e-12, abs=1e-12)
 
 
-def test_no_values_give_null(spark, limit):
-    frame = spark.createDataFrame([(None,), (None,)], "x double")
-    assert exact_quantiles(frame, {"x": [0.5]}, one_task_rows=limit).first()["x"] in (None, [None])
+@pytest.mark.parametrize("size", [1_000, 1_007, 7_321, 60_000])
+def test_ties_at_any_size(spark, size):
+    frame = spark.range(size).selectExpr("floor(rand(3) * 40) / 100.0D + 24.95D as x")
+    kept = spark.createDataFrame(frame.toPandas())
+    assert exact_quantiles(kept, {"x": LEVELS}).first()["x"] == percentile(kept, "x", LEVELS)
+
 
+def test_nan_is_no_value(spark):
+    rows = [(float(i),) for i in range(101)] + [(float("nan"),)] * 50 + [(None,)]
+    frame = spark.createDataFrame(rows, "x double")
+    assert exact_quantiles(frame, {"x": [0.5, 1.0]}).first()["x"] == [50.0, 100.0]
 
-def test_several_columns(spark, limit):
+
+def test_no_values_give_null(spark, spread):
+    frame = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert exact_quantiles(frame, {"x": [0.5]}).first()["x"] is None
+
+
+def test_several_columns(spark, spread):
     frame = spark.createDataFrame([(float(i), float(i * i)) for i in range(800)], "a double, b double")
-    found = exact_quantiles(frame, {"a": [0.5], "b": [0.1, 0.9]}, one_task_rows=limit).first()
-    assert found["a"] == pytest.approx([399.5])
-    assert found["b"] == pytest.approx(list(np.quantile([i * i for i in range(800)], [0.1, 0.9])))
-
-
-def test_selection_by_rank_sorts_within_value_ranges_only(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "_VALUES_PER_BUCKET", 100)
-    frame = spark.range(20_000).selectExpr("cast(id as double) as x")
-    counts = frame.selectExpr("x as value", "1L as copies")
-    plan = quantiles._select_by_rank(counts, 20_000, [0.5, 0.99])
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(exchanges) == 1 and "range#" in exchanges[0]
-    assert "(value" not in exchanges[0]
+    found = exact_quantiles(frame, {"a": [0.5], "b": [0.1, 0.9]}).first()
+    assert found["a"] == [399.5]
+    assert found["b"] == percentile(frame, "b", [0.1, 0.9])
+
+
+def test_values_are_counted_before_the_shuffle_and_sorted_in_ranges(spark):
+    frame = spark.range(20_000).selectExpr("cast(id % 500 as double) as x")
+    plan = exact_quantiles(frame, {"x": [0.5, 0.99]})._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [sum(copies" in line]
+    assert len(windows) == 1 and "range#" in windows[0].split("windowspecdefinition")[1]

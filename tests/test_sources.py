@@ -4,10 +4,12 @@ import pytest
 from frames import config, order, orders, visitor, visitors
 
 from splitmetrics import schema
+from splitmetrics.operators.rollups import order_profile
 from splitmetrics.sources import results, workspace
 from splitmetrics.sources.tables import (
     TableNames,
     chunk_predicates,
+    read_chunks,
     read_table,
     save_bucketed,
     with_constraint,
@@ -26,6 +28,10 @@ def test_chunks_with_a_constraint(spark):
     keys = spark.range(100).withColumnRenamed("id", "k")
     for constraint in ("k < 10", "and k < 10"):
         assert sum(keys.where(p).count() for p in chunk_predicates("k", 4, constraint)) == 10
+    for either in ("k < 10 or k > 89", "AND\n(k < 10) or k > 89", "and(k < 10 or k > 89)"):
+        assert read_chunks(keys, "k", 4, either).count() == 20
+        assert with_constraint(keys, either).count() == 20
+    assert with_constraint(keys.withColumnRenamed("k", "android"), "android < 3").count() == 3
     with pytest.raises(ValueError, match="at least 1"):
         chunk_predicates("k", 0)
 
@@ -120,25 +126,31 @@ def test_data_checks(spark):
 
 
 @pytest.fixture
-def bucketed(spark, tmp_path_factory):
-    """Visitors and orders as tables bucketed by visitor id; dropped again afterwards."""
-    people = [visitor(i, 100 + i % 2) for i in range(1, 200)]
-    placed = [order(i, 10, 1, 100 + i % 2) for i in range(1, 200, 3)]
-    save_bucketed(visitors(spark, people), "bucketed_visitors", 4)
-    save_bucketed(orders(spark, placed), "bucketed_orders", 4)
-    yield spark.read.table("bucketed_visitors"), spark.read.table("bucketed_orders")
-    spark.sql("drop table bucketed_visitors")
+def bucketed(spark):
+    """Orders as a table bucketed by visitor id; dropped again afterwards."""
+    save_bucketed(orders(spark, [order(i, 10, 1) for i in range(1, 200, 3)]), "bucketed_orders", 4)
+    yield spark.read.table("bucketed_orders")
     spark.sql("drop table bucketed_orders")
 
 
-def test_bucketed_tables_join_without_a_shuffle(spark, bucketed):
-    from splitmetrics.operators.population import joined_population
+def test_the_profile_of_bucketed_orders_is_made_without_a_shuffle(spark, bucketed):
+    plan = order_profile(bucketed)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange" not in plan
 
-    setting = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, -1)
-    try:
-        plan = joined_population(*bucketed, config())._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set(setting, before)
-    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+def test_a_failed_save_leaves_the_rows_before(spark, tmp_path):
+    results.save_frame(spark.range(3), str(tmp_path), "numbers", config())
+    failing = spark.range(3).selectExpr("raise_error('no') as id")
+    with pytest.raises(Exception, match="no"):
+        results.save_frame(failing, str(tmp_path), "numbers", config())
+    assert results.load_frame(spark, str(tmp_path), "numbers", config()).count() == 3
+
+
+def test_closing_a_workspace_deletes_what_was_staged_in_it(spark, tmp_path):
+    own = workspace.Workspace(spark, str(tmp_path))
+    with own.active():
+        staged = workspace.stage(spark.range(3), "numbers")
+    outside = workspace.stage(spark.range(3), "numbers")
+    assert staged.count() == 3 and os.listdir(tmp_path)
+    own.close()
+    assert os.listdir(tmp_path) == [] and outside.count() == 3

@@ -29,6 +29,22 @@ def test_far_tail_keeps_relative_accuracy(spark):
     assert p_values(spark, [(12.0, 30.0)])[0] == pytest.approx(5.580185415199e-13, rel=1e-9)
 
 
+@pytest.mark.parametrize("df", [1.2e5, 1e9, 1e12])
+def test_far_tail_with_many_degrees_of_freedom(spark, df):
+    """The tail itself by Simpson's rule, on a scale on which it falls slowly."""
+    ts = [3.6, 5.0, 8.0, 12.0, 20.0, 30.0]
+    expected = []
+    for t in ts:
+        u = np.linspace(0, 40 / t, 200_001)
+        weights = np.ones(len(u))
+        weights[1:-1:2], weights[2:-1:2] = 4, 2
+        density = np.exp(-(df + 1) / 2 * np.log1p((t + u) ** 2 / df))
+        area = 40 / t / 200_000 / 3 * np.sum(weights * density)
+        scale = (1 - 1 / (4 * df)) / np.sqrt(2 * np.pi)  # of the density, for large df
+        expected.append(2 * scale * area)
+    assert p_values(spark, [(t, df) for t in ts]) == pytest.approx(expected, rel=1e-8)
+
+
 def test_missing_and_zero(spark):
     assert p_values(spark, [(None, 5.0), (1.0, None), (0.0, 5.0), (1.0, 0.0)]) == [None, None, 1.0, None]
 
