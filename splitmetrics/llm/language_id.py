@@ -104,8 +104,12 @@ def fit(
     share = F.create_map(
         *[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, rows_per_language / n))]
     )
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    chosen = labelled.where(chance < share[F.col("lang")]).select("lang", "text") if counts else None
+    keyed = labelled.select("lang", "text", F.xxhash64("doc_id", "text").alias("key"))
+    chance = F.pmod("key", F.lit(1 << 20)) / F.lit(float(1 << 20))
+    if counts:
+        # Equal rows have equal keys, so they count once, however many there are.
+        chosen = keyed.where(chance < share[F.col("lang")]).groupBy("lang", "key")
+        chosen = chosen.agg(F.min("text").alias("text")).select("lang", "text")
 
     def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
         for lang, text in rows:

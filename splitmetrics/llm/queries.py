@@ -37,14 +37,15 @@ def chat_formatting_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Passages of 50 or more words that stand earlier go; the spans are word numbers."""
+    """Passages of 50 or more words that stand earlier go; the spans are of word numbers from 0."""
     found = suffix_dedup.drop_repeated_passages(_documents(spark, folder))
     spans = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>"))
     words = F.aggregate(spans, F.lit(0), lambda n, s: n + s["end"] - s["start"])
+    written = F.transform(spans, lambda s: F.concat_ws("-", s["start"], s["end"]))
     return found.select(
         F.col("row.doc_id").alias("doc_id"),
-        spans.alias("spans"),
-        words.alias("n_words_removed"),
+        F.array_join(written, ",").alias("spans"),
+        words.cast("long").alias("n_words_removed"),
         F.char_length("cleaned").cast("long").alias("n_chars_kept"),
         _digest("cleaned").alias("cleaned_sha256"),
     )
@@ -111,5 +112,52 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+# Every window of 50 words whose words stand before, by the texts themselves. A piece is a word with
+# the white space after it, so a text is its leading white space and its pieces.
+_REPEATED_PASSAGES = r"""
+with pieces as (
+  select doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') as piece
+  from documents
+),
+numbered as (select doc_id, unnest(piece) as piece, unnest(range(len(piece))) as k from pieces),
+windows as (
+  select doc_id, k,
+    array_to_string(list_transform(piece[k + 1 : k + 50], lambda p: regexp_extract(p, '^[^\x20\x09-\x0D]+')), ' ') as passage
+  from (select doc_id, piece, unnest(range(greatest(len(piece) - 49, 0))) as k from pieces)
+),
+repeated as (
+  select doc_id, k from (
+    select doc_id, k, row_number() over (partition by passage order by doc_id, k) as n from windows)
+  where n > 1
+),
+covered as (select distinct doc_id, k + unnest(range(50)) as k from repeated),
+runs as (
+  select doc_id, min(k) as first, max(k) + 1 as past
+  from (select doc_id, k, k - row_number() over (partition by doc_id order by k) as run from covered)
+  group by doc_id, run
+),
+spans as (
+  select doc_id, string_agg(concat(first, '-', past), ',' order by first) as spans,
+    sum(past - first) as gone
+  from runs group by doc_id
+),
+kept as (
+  select n.doc_id, string_agg(piece, '' order by n.k) as rest
+  from numbered n where not exists (
+    select 1 from covered c where c.doc_id = n.doc_id and c.k = n.k)
+  group by n.doc_id
+),
+cleaned as (
+  select p.doc_id, coalesce(s.spans, '') as spans, cast(coalesce(s.gone, 0) as bigint) as gone,
+    concat(regexp_extract(p.text, '^[\x20\x09-\x0D]*'), coalesce(k.rest, '')) as cleaned
+  from pieces p left join spans s on s.doc_id = p.doc_id left join kept k on k.doc_id = p.doc_id
+)
+select doc_id, spans, gone as n_words_removed, cast(length(cleaned) as bigint) as n_chars_kept,
+  sha256(cleaned) as cleaned_sha256
+from cleaned"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Expected results, where DuckDB can compute them."""
+    return {"op2_suffix_array_dedup": _REPEATED_PASSAGES}

@@ -40,9 +40,9 @@ def corpus():
     return [*texts, None, "", "é\n🙂🙂🙂", "one\none\n \none", "\n".join(f"line {k}" for k in range(700)), "\n".join(f"line {k}" for k in range(650, 1500))]
 
 
-@pytest.mark.parametrize("rows_per_range", [8192, 7])
-def test_versions(spark, monkeypatch, rows_per_range):
-    monkeypatch.setattr(fingerprints, "_ROWS_PER_RANGE", rows_per_range)
+@pytest.mark.parametrize("ranges", [4, 0.125])
+def test_versions(spark, monkeypatch, ranges):
+    monkeypatch.setattr(fingerprints, "_RANGES_PER_PARTITION", ranges)
     rows = [(3 * k, t) for k, t in enumerate(corpus())]
     rows += [rows[4], rows[4], rows[-1]]
     found = fingerprints.fingerprint_versions(documents(spark, rows, clashing=True)).collect()
