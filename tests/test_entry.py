@@ -1,0 +1,27 @@
+"""The entry points without the corpus operators."""
+
+import subprocess
+import sys
+
+import __spark_entry__ as registry
+
+_WITHOUT = """
+import sys
+{0}
+import __spark_entry__ as registry
+names = set(registry.queries())
+assert "summary_metrics" in names and "pipeline" not in names
+assert not any(name.startswith("op") and "_" in name and name[2].isdigit() for name in names)
+assert set(registry.oracle_sql()) == names
+"""
+
+
+def test_entry_works_without_the_corpus_operators():
+    root = registry.__file__.rsplit("/", 1)[0]
+    for gone in (
+        "sys.modules['corpus_pipeline'] = None",
+        "sys.modules['splitmetrics.llm'] = None",
+        "import types; sys.modules['splitmetrics.llm'] = types.ModuleType('splitmetrics.llm')",
+    ):
+        code = _WITHOUT.format(gone)
+        subprocess.run([sys.executable, "-B", "-c", code], cwd=root, check=True, timeout=120)
