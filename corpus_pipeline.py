@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from splitmetrics.llm import language_id, line_dedup, packing, simhash, suffix_dedup
-from splitmetrics.sources.workspace import stage
+from splitmetrics.sources.workspace import Workspace, stage
 
 #: The classifier and the alignment have no SQL form; tests/llm compare the stages with brute force.
 ORACLE_SQL = None
@@ -62,7 +62,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name)
-    return stage(STAGES[-1][1](spark, docs, sf_dir), STAGES[-1][0])
+    """The last stage's rows; what the stages before it staged is deleted as soon as nothing reads it."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, function in STAGES:
+        work, result = Workspace(spark), Workspace(spark)
+        with work.active():
+            found = function(spark, docs, sf_dir)
+        with result.active():
+            docs = stage(found, name)
+        work.close()
+        if before is not None:
+            before.close()
+        before = result
+    return docs
