@@ -27,11 +27,11 @@ def _with_constant(features: np.ndarray) -> np.ndarray:
 
 def _norm(x: np.ndarray) -> float:
     """The largest eigenvalue of the rows' mean outer product."""
-    v = np.ones(x.shape[1], np.float64) / np.sqrt(x.shape[1])
+    v = np.ones(x.shape[1], x.dtype) / np.sqrt(x.shape[1], dtype=x.dtype)
     for _ in range(20):
-        v = x.T @ (x @ v) / len(x)
+        v = x.T @ (x @ v) / x.dtype.type(len(x))
         size = np.linalg.norm(v)
-        v = v / max(size, 1e-12)
+        v = v / x.dtype.type(max(size, 1e-12))
     return float(max(size, 1e-12))
 
 

@@ -31,7 +31,7 @@ LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
 _SIZES = (2, 3, 4)
-_BITS = 12
+_BITS = 11
 _REMEMBERED = 1 << 20
 
 
@@ -103,7 +103,7 @@ class QualityModel:
 def fit(
     documents: DataFrame,
     labels: DataFrame,
-    sample_rows: int = 4000,
+    sample_rows: int = 3000,
     held_out: float = 0.25,
     penalty: float = 3e-5,
 ) -> QualityModel | None:
@@ -125,9 +125,10 @@ def fit(
             if words:
                 yield doc_id, good, features(text, words, buckets).tobytes()
 
-    found = map_rows(
-        texts.join(F.broadcast(chosen), "doc_id"), rows_of, "doc_id long, good boolean, vector binary"
-    ).toArrow()
+    # One text for an id, however many rows it has.
+    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
+    sample = sample.agg(F.min("text").alias("text"), F.first("good").alias("good"))
+    found = map_rows(sample, rows_of, "doc_id long, good boolean, vector binary").toArrow()
     good = np.array(found["good"].to_pylist(), bool)
     if not good.any() or good.all():
         return None
