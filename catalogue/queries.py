@@ -399,6 +399,9 @@ _QUERIES: dict[str, Query] = {
     "full_run_row_counts": full_run_row_counts,
     "run_by_name": run_by_name,
     "summary_report": _of_population(lambda p: reports.summary_report(summary(p), 101)),
+    "traffic_report": _of_traffic(
+        lambda t: reports.series_report(distribution.visitors_by_date(t), "touch_date")
+    ),
     "cohort_report": _of_population(lambda p: reports.cohort_report(cohort_summary(p)), ALL_COHORTS),
     "care_report": care_report,
     "series_points": _of_population(series_points),

@@ -172,7 +172,8 @@ def _run(
         keep("hopper_share", distribution.hopper_share(all_traffic))
     if config.test_type_id == EMAIL_TEST:
         keep("exposure_share", distribution.exposure_share(all_traffic))
-    keep("visitors_by_date", distribution.visitors_by_date(all_traffic))
+    by_date = keep("visitors_by_date", distribution.visitors_by_date(all_traffic))
+    result.reports["visitors_by_date"] = reports.series_report(by_date, "touch_date")
     by_dimension = stage(distribution.dimension_counts(tables.visitors), "dimension_counts")
     keep("dimension_share", distribution.dimension_share(by_dimension, all_traffic))
     keep("evenness", distribution.evenness(by_dimension, all_traffic))

@@ -38,7 +38,8 @@ def test_full_run(spark, tmp_path):
     result = run(tables(spark), settings, output, history)
     assert result.complete
     assert set(result.frames) == DISTRIBUTION | SWEEPS | ANALYSES | {"hopper_share"}
-    assert set(result.reports) == {"gm_sweep", "booking_sweep", *ANALYSES}
+    assert set(result.reports) == {"visitors_by_date", "gm_sweep", "booking_sweep", *ANALYSES}
+    assert result.reports["visitors_by_date"].count() == result.frames["visitors_by_date"].count() > 0
     assert set(result.timings) == set(results.STAGES)
     assert result.reports["credit"].where("significance = 'control'").count() == 1
     saved = results.load_frame(spark, output, "summary", settings)
