@@ -150,8 +150,7 @@ def write_shards(
                 yield order * shards // permute.size, order, doc_id, start, ids[start : start + length].tobytes()
 
     cut = map_rows(placed, sequences, "shard int, place long, doc_id long, start long, ids binary")
-    spread = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = cut.repartition(max(spread, min(shards, 100_000)), "shard").sortWithinPartitions("shard", "place")
+    dealt = cut.repartitionById(shards, "shard").sortWithinPartitions("shard", "place")
 
     def write(source: Iterator[tuple]) -> Iterator[tuple]:
         files, root = _folder(folder)
