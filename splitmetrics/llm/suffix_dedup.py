@@ -200,12 +200,14 @@ def repeated_passages(documents: DataFrame, length: int = 50, gram: int = 15) ->
     if not 0 < gram <= length:
         raise ValueError("a gram has at least one word and no more than a passage")
     every = stage(retained(documents, gram, length - gram + 1), "suffixes")
-    # Most grams stand once, and nothing but the gram is shuffled to tell.
+    # Most grams stand once, and nothing but the gram is shuffled to tell. The grams are staged, as Spark
+    # splits a gram that very many documents share only in a join of two tables.
     again = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    found = stage(every.join(again, "gram", "left_semi"), "repeated_suffixes")
+    found = stage(every.join(stage(again, "grams"), "gram", "left_semi"), "repeated_suffixes")
     classes = stage(found.groupBy("gram", "context").agg(_first()), "suffix_classes")
-    mixed = classes.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    heads = classes.join(mixed.select("gram"), "gram").select("first.doc_id", "first.tag", "first.at")
+    several = classes.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    mixed = stage(several.select("gram"), "mixed_grams")
+    heads = classes.join(mixed, "gram").select("first.doc_id", "first.tag", "first.at")
     copies = (
         found.join(classes, ["gram", "context"])
         .where(F.expr(_ME) != F.col("first"))
@@ -220,6 +222,7 @@ def repeated_passages(documents: DataFrame, length: int = 50, gram: int = 15) ->
     examined = stage(_examined(documents, listed, length, gram).distinct(), "examined")
     passages = examined.select("doc_id", "tag", F.inline("passages"))
     first = passages.groupBy("passage").agg(_first(), F.count("*").alias("n")).where("n > 1")
+    first = stage(first, "first_passages")
     later = (
         passages.join(first, "passage")
         .where(F.expr(_ME) != F.col("first"))
