@@ -15,6 +15,8 @@ work is linear in the paragraphs of the pairs that are left.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +26,10 @@ from splitmetrics.sources.workspace import stage
 
 #: Cells of each of the three blocks of a sketch.
 CELLS = 12
-_ROWS_PER_RANGE = 8192
+#: Ranges of doc_id for each shuffle partition, so that partitions come out alike.
+_RANGES_PER_PARTITION = 16
+#: What a text is compared with, and the column with its digests.
+_KINDS = {"edited": "changed", "next": "following"}
 _EMPTY = "named_struct('n', 0, 'key', 0L, 'chk', 0)"
 
 
@@ -93,11 +98,12 @@ def _printed(cells: str) -> str:
 def _ranged(documents: DataFrame) -> DataFrame:
     """Every row in a range of doc_id, and the first document of each range in the one before as well.
 
-    The ranges' first documents are a row for some thousand documents; they are all that is joined.
+    The ranges' first documents, some for each shuffle partition, are all that is joined and collected.
     """
     rows = documents.select("doc_id", tag(F.col("text")).alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
     keys = stage(rows.select("doc_id", "tag"), "document_keys")
-    count = max(1, -(-keys.count() // _ROWS_PER_RANGE))
+    spread = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = max(1, int(_RANGES_PER_PARTITION * spread))
     parts = keys.select("doc_id").repartitionByRange(count, "doc_id")
     lows = parts.groupBy(F.spark_partition_id().alias("p")).agg(F.min("doc_id").alias("low"))
     cuts = sorted({float(row["low"]) for row in lows.where("low is not null").collect()})
@@ -156,7 +162,10 @@ def _retried(pairs: DataFrame, level: int) -> DataFrame:
     sides = pairs.select("row", "kind", F.explode("own").alias("d"), F.lit(True).alias("mine")).union(
         pairs.select("row", "kind", F.explode("other").alias("d"), F.lit(False).alias("mine"))
     )
-    parts = sides.groupBy("row", "kind", F.expr(f"xxhash64(d, -1) & {split}L").alias("part")).agg(
+    # Peeling is much work on few bytes, so the number of tasks must not follow from the bytes.
+    spread = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = sides.withColumn("part", F.expr(f"xxhash64(d, -1) & {split}L"))
+    parts = sides.repartition(spread, "row", "kind", "part").groupBy("row", "kind", "part").agg(
         F.expr("collect_list(if(mine, d, null))").alias("l"), F.expr("collect_list(if(mine, null, d))").alias("r")
     )
     cells = parts.select("row", "kind", F.expr(sketch("l", level)).alias("l"), F.expr(sketch("r", level)).alias("r"))
@@ -176,41 +185,58 @@ def fingerprint_versions(documents: DataFrame, most_levels: int = 16) -> DataFra
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. A fingerprint is
     the first sketch's cells in hexadecimal; it depends on the text alone. An empty table gives an empty result.
     """
-    versions = stage(edited_versions(documents), "versions")
-    numbered = stage(
-        versions.select(F.monotonically_increasing_id().alias("row"), "*")
+    # Fingerprints are long, so they are printed at the very end and never shuffled or staged.
+    first = stage(
+        edited_versions(documents)
         .withColumns({f"{c}_cells": F.expr(sketch(c)) for c in ("own", "changed", "following")})
         .select(
-            *("row", "doc_id", "n_chars", "edited_sha256", "own", "changed", "following"),
-            F.expr(_printed("own_cells")).alias("fingerprint"),
-            F.expr(_printed("changed_cells")).alias("edited_fingerprint"),
+            F.monotonically_increasing_id().alias("row"),
+            *("doc_id", "n_chars", "edited_sha256", "own", "changed", "following"),
             F.expr(peeled("own_cells", "changed_cells")).alias("edited"),
             F.expr(peeled("own_cells", "following_cells")).alias("next"),
         ),
         "sketches",
     )
-    failed = numbered.select(
-        "row", F.explode(F.array(*[
-            F.struct(F.lit(kind).alias("kind"), F.col("own").alias("own"), F.col(other).alias("other"), F.col(f"{kind}.ok").alias("ok"))
-            for kind, other in (("edited", "changed"), ("next", "following"))
-        ])).alias("pair")
-    ).select("row", "pair.*").where("not ok").drop("ok")
-    pending, solved = stage(failed, "pairs"), []
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(kind).alias("kind"),
+                F.col("own").alias("own"),
+                F.col(other).alias("other"),
+                F.col(f"{kind}.ok").alias("ok"),
+            )
+            for kind, other in _KINDS.items()
+        ]
+    )
+    failed = first.select("row", F.explode(pairs).alias("pair")).select("row", "pair.*")
+    pending, solved = stage(failed.where("not ok").drop("ok"), "pairs"), []
     for level in range(1, most_levels + 1):
         if pending.isEmpty():
             break
         tried = stage(_retried(pending, level), "retried")
         solved.append(tried.where("found.ok"))
-        pending = stage(pending.join(tried.where("not found.ok").select("row", "kind"), ["row", "kind"], "left_semi"), "pairs")
+        again = tried.where("not found.ok").select("row", "kind")
+        pending = stage(pending.join(again, ["row", "kind"], "left_semi"), "pairs")
     else:
         raise RuntimeError(f"differences remain after {most_levels} enlargements")
-    found = numbered
-    for kind, other in (("edited", "changed"), ("next", "following")):
-        late = None
-        for part in solved:
-            part = part.where(F.col("kind") == kind).select("row", F.col("found").alias("late"))
-            late = part if late is None else late.union(part)
-        if late is not None:
-            found = found.join(late, "row", "left").withColumn(kind, F.when(F.col(f"{kind}.ok"), F.col(kind)).otherwise(F.col("late"))).drop("late")
-        found = found.withColumn(f"near_{kind}", F.expr(likeness("own", other, f"{kind}.only_left", f"{kind}.only_right")))
-    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    found = first
+    if solved:
+        late = reduce(DataFrame.union, solved).groupBy("row")
+        late = late.agg(
+            *[F.max(F.when(F.col("kind") == kind, F.col("found"))).alias(f"{kind}_late") for kind in _KINDS]
+        )
+        found = found.join(late, "row", "left").withColumns(
+            {kind: F.coalesce(F.col(f"{kind}_late"), F.col(kind)) for kind in _KINDS}
+        )
+    likely = {
+        f"near_{kind}": F.expr(likeness("own", other, f"{kind}.only_left", f"{kind}.only_right"))
+        for kind, other in _KINDS.items()
+    }
+    return found.withColumns(likely).select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        F.expr(_let("cells", sketch("own"), _printed("cells"))).alias("fingerprint"),
+        F.expr(_let("cells", sketch("changed"), _printed("cells"))).alias("edited_fingerprint"),
+        *likely,
+    )

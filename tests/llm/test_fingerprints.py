@@ -40,7 +40,7 @@ def corpus():
     return [*texts, None, "", "é\n🙂🙂🙂", "one\none\n \none", "\n".join(f"line {k}" for k in range(700)), "\n".join(f"line {k}" for k in range(650, 1500))]
 
 
-@pytest.mark.parametrize("ranges", [4, 0.125])
+@pytest.mark.parametrize("ranges", [16, 0.125])
 def test_versions(spark, monkeypatch, ranges):
     monkeypatch.setattr(fingerprints, "_RANGES_PER_PARTITION", ranges)
     rows = [(3 * k, t) for k, t in enumerate(corpus())]
