@@ -15,11 +15,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     neighbours below the smallest of them, first the larger ones, then the smaller; the number of rounds
     grows with the logarithm of the longest path. Each round is written to the shared folder, so
     a lost executor repeats one round at most. A node with very many neighbours is one key of
-    a join that Spark splits, and of a minimum that is formed before the shuffle.
+    a join of two tables, which Spark splits, and of a minimum that is formed before the shuffle.
     """
     current, state = _staged(edges.where("a != b").selectExpr("greatest(a, b) as a", "least(a, b) as b"))
     while state[0]:
-        following, reached = _staged(_small_star(_large_star(current)))
+        following, reached = _staged(_small_star(stage(_large_star(current), "large_star")))
         if reached == state:
             break
         current, state = following, reached
@@ -36,11 +36,12 @@ def _staged(edges: DataFrame) -> tuple[DataFrame, tuple]:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.selectExpr("b as a", "a as b"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a", "least(a, m) as m")
+    least = stage(least, "least_neighbours")
     return both.where("b > a").join(least, "a").selectExpr("b as a", "m as b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.where("a != b").selectExpr("greatest(a, b) as a", "least(a, b) as b")
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = stage(down.groupBy("a").agg(F.min("b").alias("m")), "least_neighbours")
     moved = down.join(least, "a").where("b != m").selectExpr("b as a", "m as b")
     return moved.union(least.selectExpr("a", "m as b"))

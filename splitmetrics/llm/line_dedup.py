@@ -35,14 +35,12 @@ def aligned(later: Sequence[int], earlier: Sequence[int]) -> list[tuple[int, int
     at = {h: j for j, h in enumerate(earlier) if there.get(h) == 1}
     anchors = [(i, at[h]) for i, h in enumerate(later) if h in at]
     blocks: list[tuple[int, int]] = []
-    end_i = end_j = 0
+    end_i = end_j = shift = 0
     chain = _increasing(anchors)
     for k, (i, j) in enumerate(chain):
-        if i < end_i:  # the block before has grown over this anchor, or past its other side
-            continue
-        first, first_j = i, max(j, end_j)
-        if j < end_j:
+        if i < end_i or j < end_j:  # the block before has grown over this anchor
             continue
+        first, first_j = i, j
         while first > end_i and first_j > end_j and later[first - 1] == earlier[first_j - 1]:
             first, first_j = first - 1, first_j - 1
         end_i, end_j = _grown(later, earlier, i + 1, j + 1, chain, k + 1)
@@ -119,12 +117,17 @@ def _candidates(sequences: DataFrame, rare: int, min_words: int, min_lines: int)
         ).alias("key"),
     )
 
-    def first(keys: DataFrame) -> DataFrame:
-        return keys.groupBy("key").agg(F.min("me").alias("first"), F.count("*").alias("n")).where("n > 1")
+    def with_first(keys: DataFrame, label: str) -> DataFrame:
+        """Keys that several documents have, with the earliest of these.
+
+        The earliest are staged: Spark splits a line that very many documents have only
+        in a join of two tables.
+        """
+        first = keys.groupBy("key").agg(F.min("me").alias("first"), F.count("*").alias("n"))
+        return keys.join(stage(first.where("n > 1"), label), "key")
 
-    by_line = own.join(first(own), "key").where((F.col("n") <= rare) | F.col("alone"))
-    runs = runs.distinct()
-    by_run = runs.join(first(runs), "key")
+    by_line = with_first(own, "first_lines").where((F.col("n") <= rare) | F.col("alone"))
+    by_run = with_first(runs.distinct(), "first_runs")
     pairs = by_line.select("me", "first").union(by_run.select("me", "first"))
     return pairs.where("me != first").distinct()
 

@@ -102,7 +102,9 @@ def links(distinct: DataFrame, bits: int = 2, pair_limit: int = 64) -> DataFrame
         ]
     )
     members = distinct.select("fp", F.explode(keys).alias("bucket")).select("fp", "bucket.*")
+    # Staged, as Spark splits a bucket with very many members only in a join of two tables.
     sizes = members.groupBy("start", "key").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = stage(sizes, "bucket_sizes")
     shared = stage(members.join(sizes, ["start", "key"]), "buckets")
 
     small = shared if bits != 2 else shared.where(F.col("size") <= pair_limit)
@@ -166,10 +168,17 @@ def simhash_groups(
 
 
 def drop_near_duplicates(documents: DataFrame, words: int = 3, bits: int = 2) -> DataFrame:
-    """One row of each group, that of the smallest doc_id (null ids last), with all its columns."""
-    groups = stage(simhash_groups(documents, words, bits), "simhash_groups")
-    chosen = groups.groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag")).alias("first")
-    )
-    kept = chosen.select("root", "first.doc_id", "first.tag")
-    return with_rows(documents, kept).dropDuplicates(["root"]).select("row.*")
+    """One row of each group, that of the smallest doc_id (null ids last), with all its columns.
+
+    Of rows that are repeated one is kept; only if there are such rows among those kept are the
+    documents shuffled again to find them.
+    """
+    groups = simhash_groups(documents, words, bits)
+    rows = groups.groupBy("root", "doc_id", "tag").agg(F.count("*").alias("copies"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag", "copies")
+    chosen = rows.groupBy("root").agg(F.min(first).alias("first"))
+    kept = stage(chosen.select("root", "first.doc_id", "first.tag", "first.copies"), "kept")
+    found = with_rows(documents, kept)
+    if not kept.where("copies > 1").isEmpty():
+        found = found.dropDuplicates(["root"])
+    return found.select("row.*")
