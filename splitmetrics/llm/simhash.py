@@ -145,7 +145,9 @@ def components(prints: DataFrame, bits: int = 2, pair_limit: int = 64) -> DataFr
     rooted = least.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Both staged, as Spark splits a very large component only in a join of two tables.
+    rooted = stage(rooted, "roots")
+    ids = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component_ids")
     return stage(rooted.join(ids, "root").select("fp", "root", "component_id"), "near_duplicates")
 
 
