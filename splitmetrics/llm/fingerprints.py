@@ -98,7 +98,7 @@ def _printed(cells: str) -> str:
 def _ranged(documents: DataFrame) -> DataFrame:
     """Every row in a range of doc_id, and the first document of each range in the one before as well.
 
-    The ranges' first documents, some for each shuffle partition, are all that is joined and collected.
+    The ranges' first documents, no more than 16 for each shuffle partition, are all that is broadcast and collected.
     """
     rows = documents.select("doc_id", tag(F.col("text")).alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
     keys = stage(rows.select("doc_id", "tag"), "document_keys")
@@ -121,8 +121,9 @@ def _ranged(documents: DataFrame) -> DataFrame:
         (f["doc_id"], f["tag"], found[k - 1][0]) for k, (_, f) in enumerate(found)
     ]
     ahead = documents.sparkSession.createDataFrame(into, "doc_id long, tag long, into double")
+    # A row for each range: without the hint their size is unknown, and all texts would be shuffled to meet them.
     following = rows.alias("l").join(
-        ahead.alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.tag") == F.col("r.tag"))
+        F.broadcast(ahead).alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.tag") == F.col("r.tag"))
     )
     following = following.select("l.doc_id", "l.tag", "l.text", F.col("r.into").alias("range"), F.lit(True).alias("ahead"))
     return placed(rows).withColumn("ahead", F.lit(False)).unionByName(following)
