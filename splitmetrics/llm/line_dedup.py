@@ -3,14 +3,17 @@
 Documents whose lines are the same throughout form a class, of which only the first takes part in
 what follows. Rare lines, those of at most ``rare`` classes, point every later document that has one to the
 earliest document that has it. Where more documents share a line, that line alone says little: there
-a pair of neighbouring lines, or a line long enough to be deleted on its own, does the same. So
-every block that may be deleted leads to a document that has it, and the pairs are at most as many as
+a run of lines that may be deleted (``min_lines`` of them, or fewer with a long one) does the same. So
+every least block that may be deleted leads to the earliest document that has it, whose alignment deletes it in all
+places. Later holders cannot add to that, so the result is that of aligning all pairs, though the pairs are about as many as
 lines, never all pairs of a group.
 
 Each pair is aligned by patience diff: lines that occur once in either document and lie in the same order
 in both (a longest increasing subsequence) are anchors, which grow up and down over equal
-neighbours. Aligned blocks of at least ``min_lines`` lines, or with a line of ``min_words`` words, are
-deleted from the later document. The earliest copy of a line never goes.
+neighbours; between anchors the same is done anew. Then the later document's runs that are still left (repeats
+of a block, blocks in another order, stretches without a unique line) are aligned with any place that has them, which
+finds all that a longest common subsequence would and more. Aligned runs of at least ``min_lines`` lines, or
+with a line of ``min_words`` words, are deleted from the later document. The earliest copy of a line never goes.
 
 Lines are split at "\\n" and compared without outer white space; lines without a character count for nothing.
 """
@@ -28,33 +31,68 @@ from splitmetrics.llm.rows import map_rows, tag, with_rows
 from splitmetrics.sources.workspace import stage
 
 
-def aligned(later: Sequence[int], earlier: Sequence[int]) -> list[tuple[int, int]]:
-    """Blocks (first, end) of ``later`` that patience diff aligns with ``earlier``."""
-    once = {h for h, n in Counter(later).items() if n == 1}
-    there = Counter(h for h in earlier if h in once)
-    at = {h: j for j, h in enumerate(earlier) if there.get(h) == 1}
-    anchors = [(i, at[h]) for i, h in enumerate(later) if h in at]
+def aligned(
+    later: Sequence[int], earlier: Sequence[int], least: int = 2, long: Sequence[bool] | None = None
+) -> list[tuple[int, int]]:
+    """Blocks (first, end) of ``later`` made of runs that ``earlier`` has as well.
+
+    A run has ``least`` lines or a line that is ``long``; without ``long`` each line counts as such. Runs that
+    overlap are one block. After the patience diff every run that it left is aligned again with any place
+    that has it, so none is left at the end.
+    """
+    long = [True] * len(later) if long is None else long
+    found, linked = bytearray(len(later)), bytearray(len(later))  # linked: to the line after it
+
+    def take(first: int, size: int) -> None:
+        found[first : first + size] = b"\1" * size
+        linked[first : first + size - 1] = b"\1" * (size - 1)
+
+    for first, size in _patience(later, earlier):
+        if size >= least:
+            take(first, size)
+    for size in range(1, least + 1):
+        there = set(zip(*(earlier[k:] for k in range(size)), strict=False))
+        for first, run in enumerate(zip(*(later[k:] for k in range(size)), strict=False)):
+            if run in there and (size == least or any(long[first : first + size])):
+                if not all(linked[first : first + size - 1]) or not found[first]:
+                    take(first, size)
     blocks: list[tuple[int, int]] = []
-    end_i = end_j = shift = 0
-    chain = _increasing(anchors)
-    for k, (i, j) in enumerate(chain):
-        if i < end_i or j < end_j:  # the block before has grown over this anchor
-            continue
-        first, first_j = i, j
-        while first > end_i and first_j > end_j and later[first - 1] == earlier[first_j - 1]:
-            first, first_j = first - 1, first_j - 1
-        end_i, end_j = _grown(later, earlier, i + 1, j + 1, chain, k + 1)
-        if blocks and blocks[-1][1] == first and end_j - end_i == shift:
-            blocks[-1] = (blocks[-1][0], end_i)
-        else:
-            blocks.append((first, end_i))
-        shift = end_j - end_i
+    for k in range(len(later)):
+        if found[k] and k and linked[k - 1]:
+            blocks[-1] = (blocks[-1][0], k + 1)
+        elif found[k]:
+            blocks.append((k, k + 1))
     return blocks
 
 
-def _grown(later, earlier, i: int, j: int, chain: list[tuple[int, int]], k: int) -> tuple[int, int]:
+def _patience(later: Sequence[int], earlier: Sequence[int]) -> Iterator[tuple[int, int]]:
+    """Runs (first, size) of ``later`` by patience diff; uniqueness is taken anew between the anchors."""
+    ranges = [(0, len(later), 0, len(earlier))]
+    while ranges:
+        at_i, to_i, at_j, to_j = ranges.pop()
+        once = {h for h, n in Counter(later[at_i:to_i]).items() if n == 1}
+        there = Counter(h for h in earlier[at_j:to_j] if h in once)
+        at = {h: j for j, h in enumerate(earlier[at_j:to_j], at_j) if there.get(h) == 1}
+        chain = _increasing([(i, at[h]) for i, h in enumerate(later[at_i:to_i], at_i) if h in at])
+        for k, (i, j) in enumerate(chain):
+            if i < at_i or j < at_j:  # the block before has grown over this anchor
+                continue
+            first, first_j = i, j
+            while first > at_i and first_j > at_j and later[first - 1] == earlier[first_j - 1]:
+                first, first_j = first - 1, first_j - 1
+            if at_i < first and at_j < first_j:
+                ranges.append((at_i, first, at_j, first_j))
+            at_i, at_j = _grown(later, earlier, i + 1, j + 1, to_i, to_j, chain, k + 1)
+            yield first, at_i - first
+        if chain and at_i < to_i and at_j < to_j:
+            ranges.append((at_i, to_i, at_j, to_j))
+
+
+def _grown(
+    later, earlier, i: int, j: int, to_i: int, to_j: int, chain: list[tuple[int, int]], k: int
+) -> tuple[int, int]:
     """Where equal lines from (i, j) on end; not past an anchor that lies elsewhere."""
-    while i < len(later) and j < len(earlier) and later[i] == earlier[j]:
+    while i < to_i and j < to_j and later[i] == earlier[j]:
         if k < len(chain):
             next_i, next_j = chain[k]
             if (i, j) == (next_i, next_j):
@@ -105,17 +143,20 @@ def _candidates(sequences: DataFrame, rare: int, min_words: int, min_lines: int)
     me = F.struct(*_ORDER)
     lines = sequences.select(me.alias("me"), F.explode("lines").alias("line"))
     own = lines.select("me", F.col("line.hash").alias("key"), (F.col("line.words") >= min_words).alias("alone")).distinct()
-    runs = sequences.where(F.size("lines") >= min_lines).select(
-        me.alias("me"),
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.size("lines") - min_lines),
-                lambda k: F.xxhash64(
-                    F.lit(min_lines), F.transform(F.slice("lines", k + 1, min_lines), lambda x: x["hash"])
-                ),
-            )
-        ).alias("key"),
-    )
+
+    def runs(size: int) -> DataFrame:
+        """Keys of the runs of ``size`` lines that may be deleted: for fewer than ``min_lines``, those with a long line."""
+        windows = F.transform(
+            F.sequence(F.lit(0), F.size("lines") - size), lambda k: F.slice("lines", k + 1, size)
+        )
+        if size < min_lines:
+            windows = F.filter(windows, lambda run: F.exists(run, lambda x: x["words"] >= min_words))
+        keys = F.transform(windows, lambda run: F.xxhash64(F.lit(size), F.transform(run, lambda x: x["hash"])))
+        return sequences.where(F.size("lines") >= size).select(me.alias("me"), F.explode(keys).alias("key"))
+
+    all_runs = runs(min_lines)
+    for size in range(2, min_lines):
+        all_runs = all_runs.union(runs(size))
 
     def with_first(keys: DataFrame, label: str) -> DataFrame:
         """Keys that several documents have, with the earliest of these.
@@ -127,7 +168,7 @@ def _candidates(sequences: DataFrame, rare: int, min_words: int, min_lines: int)
         return keys.join(stage(first.where("n > 1"), label), "key")
 
     by_line = with_first(own, "first_lines").where((F.col("n") <= rare) | F.col("alone"))
-    by_run = with_first(runs.distinct(), "first_runs")
+    by_run = with_first(all_runs.distinct(), "first_runs")
     pairs = by_line.select("me", "first").union(by_run.select("me", "first"))
     return pairs.where("me != first").distinct()
 
@@ -168,8 +209,7 @@ def deleted_lines(
         for doc_id, tag_, hashes, numbers, long, earlier in rows:
             gone = [
                 number
-                for low, high in aligned(hashes, earlier)
-                if high - low >= min_lines or any(long[low:high])
+                for low, high in aligned(hashes, earlier, min_lines, long)
                 for number in numbers[low:high]
             ]
             if gone:

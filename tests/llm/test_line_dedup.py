@@ -95,3 +95,66 @@ def test_every_qualifying_line_that_stands_earlier_goes(spark):
 
 def test_empty_table(spark):
     assert line_dedup.drop_repeated_lines(documents(spark, []).limit(0)).count() == 0
+
+
+def shared_runs(later, earlier, least, long):
+    """The numbers of lines in any common run of ``least`` lines or with a long line, by trying all pairs of places."""
+    gone = set()
+    for i in range(len(later)):
+        for j in range(len(earlier)):
+            n = 0
+            while i + n < len(later) and j + n < len(earlier) and later[i + n] == earlier[j + n]:
+                n += 1
+                if n >= least or any(long[i : i + n]):
+                    gone.update(range(i, i + n))
+    return gone
+
+
+@given(
+    st.lists(st.integers(0, 6), max_size=20), st.lists(st.integers(0, 6), max_size=20), st.integers(1, 4), st.data()
+)
+def test_no_common_run_is_left(later, earlier, least, data):
+    long_lines = data.draw(st.sets(st.integers(0, 6), max_size=2))
+    long = [h in long_lines for h in later]
+    found = {k for low, high in aligned(later, earlier, least, long) for k in range(low, high)}
+    assert found == shared_runs(later, earlier, least, long)
+
+
+def test_header_and_footer_both_go(spark):
+    """A block twice in the later text, twice in the earlier, and blocks in another order."""
+    block, other = [line(1), line(2)], [line(3), line(4)]
+    texts = [
+        "\n".join([*block, "a", *other]),
+        "\n".join([*block, "b", *block]),
+        "\n".join([*other, "c", *block]),
+        "\n".join([line(5, 25), "d", line(5, 25)]),
+        "\n".join(["e", line(5, 25)]),
+    ]
+    found = result(spark, texts)
+    assert [found[k][1] for k in range(5)] == [texts[0], "b", "c", texts[3], "e"]
+
+
+def equals_all_pairs(spark, texts, min_lines):
+    """What goes is what any earlier document shares, not only the earliest holder of a line."""
+    split = [text.split("\n") for text in texts]
+    found = result(spark, texts, rare=2, min_lines=min_lines)
+    for k, later in enumerate(split):
+        long = [len(s.split()) >= 20 for s in later]
+        gone = set().union(*(shared_runs(later, earlier, min_lines, long) for earlier in split[:k]))
+        assert set(found[k][0]) == gone
+
+
+def test_result_is_that_of_all_pairs(spark):
+    draw = random.Random(5)
+    pool = [line(k, 22 if k < 3 else 5) for k in range(14)]
+    texts = ["\n".join(draw.choices(pool, k=draw.randint(1, 9))) for _ in range(45)]
+    equals_all_pairs(spark, texts, 2)
+    equals_all_pairs(spark, texts, 3)
+
+
+def test_holders_after_the_earliest_count(spark):
+    """The earliest holder of the long line has it twice, and has not the short line beside it."""
+    long, short = line(1, 25), line(2)
+    texts = ["\n".join([long, "a", long]), *("\n".join([f"b{k}", long, short, f"c{k}"]) for k in range(6))]
+    equals_all_pairs(spark, texts, 2)
+    equals_all_pairs(spark, texts, 3)
