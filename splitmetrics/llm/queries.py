@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from splitmetrics.llm import (
     bpe,
+    centroids,
     chat_formatting,
+    expected,
     fingerprints,
     language_id,
     line_dedup,
@@ -97,6 +99,11 @@ def packing_query(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, folder))
 
 
+def centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return centroids.cluster_table(centroids.cluster_vectors(embeddings))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_formatting": chat_formatting_query,
@@ -109,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe_round_trip": bpe_round_trip,
         "op9_token_shards": token_shards_query,
         "op10_packing": packing_query,
+        "op11_centroid_clustering": centroid_clustering,
     }
 
 
@@ -160,4 +168,7 @@ from cleaned"""
 
 def oracle_sql() -> dict[str, str]:
     """Expected results, where DuckDB can compute them."""
-    return {"op2_suffix_array_dedup": _REPEATED_PASSAGES}
+    return {
+        "op2_suffix_array_dedup": _REPEATED_PASSAGES,
+        "op11_centroid_clustering": expected.CENTROID_CLUSTERING,
+    }
