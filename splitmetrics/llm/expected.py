@@ -50,3 +50,34 @@ from assigned3
 join vectors using (row)
 join by_cluster b on b.cluster = best.cluster
 join centroids3 on k = best.cluster"""
+
+
+FILL_IN_MIDDLE = r"""
+with units as (
+  select doc_id, coalesce(text, '') as text, sha256('7:' || coalesce(cast(doc_id as varchar), '')) as digest,
+    case when coalesce(text, '') = '' then [] else regexp_extract_all(text, '[^\n]*\n|[^\n]+') end as unit
+  from documents
+),
+drawn as (
+  select doc_id, text, unit, len(unit) as n, list_transform([1, 9, 17, 25], lambda p: cast('0x' || substr(digest, p, 8) as bigint)) as h
+  from units
+),
+cuts as (
+  select *, least(h[1] % (n + 1), h[2] % (n + 1)) as a, greatest(h[1] % (n + 1), h[2] % (n + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h[3] % 100 >= 100 then 'plain'
+      when h[4] % 100 < 50 then 'spm' else 'psm' end as form
+  from drawn
+),
+parts as (
+  select *, array_to_string(unit[1 : a], '') as prefix, array_to_string(unit[a + 1 : b], '') as middle,
+    array_to_string(unit[b + 1 :], '') as suffix
+  from cuts
+)
+select doc_id, cast(n as bigint) as n, form,
+  case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+  case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+  sha256(case form when 'plain' then text
+    when 'psm' then concat('<P>', prefix, '<S>', suffix, '<M>', middle)
+    else concat('<S>', suffix, '<P>', prefix, '<M>', middle) end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts"""

@@ -12,6 +12,7 @@ from splitmetrics.llm import (
     centroids,
     chat_formatting,
     expected,
+    fill_middle,
     fingerprints,
     language_id,
     line_dedup,
@@ -104,6 +105,10 @@ def centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.cluster_table(centroids.cluster_vectors(embeddings))
 
 
+def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(_documents(spark, folder)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_formatting": chat_formatting_query,
@@ -117,6 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_token_shards": token_shards_query,
         "op10_packing": packing_query,
         "op11_centroid_clustering": centroid_clustering,
+        "op12_fill_in_middle": fill_in_middle,
     }
 
 
@@ -171,4 +177,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_suffix_array_dedup": _REPEATED_PASSAGES,
         "op11_centroid_clustering": expected.CENTROID_CLUSTERING,
+        "op12_fill_in_middle": expected.FILL_IN_MIDDLE,
     }

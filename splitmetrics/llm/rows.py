@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-#: Rows of output that a task gathers before it hands them over.
+#: Rows and bytes of output that a task gathers before it hands them over, and bytes of input that are Python objects at once.
 _ROWS_OUT = 4096
+_BYTES = 4 << 20
 
 
 def importable(spark: SparkSession) -> None:
@@ -62,29 +63,48 @@ def map_rows(
 ) -> DataFrame:
     """Apply a generator over rows to every partition, moving the rows in Arrow batches.
 
-    Rows reach ``function`` one at a time, as tuples in the order of the frame's columns.
+    Rows reach ``function`` one at a time, as tuples in the order of the frame's columns. A task holds
+    an Arrow batch and a few megabytes of Python objects, or one row if that is larger.
     """
     importable(frame.sparkSession)
     fields = StructType.fromDDL(schema)
     arrow = to_arrow_schema(fields)
 
+    long_columns = [k for k, field in enumerate(arrow) if not pa.types.is_primitive(field.type)]
+
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in source:
-                yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+                step = max(1, batch.num_rows * _BYTES // max(batch.nbytes, 1))
+                for at in range(0, batch.num_rows, step):
+                    columns = batch.slice(at, step).columns
+                    yield from zip(*(column.to_pylist() for column in columns), strict=True)
 
         held: list[tuple] = []
+        size = 0
         for row in function(rows()):
             held.append(row)
-            if len(held) >= _ROWS_OUT:
+            size += sum(_size(row[k]) for k in long_columns)
+            if len(held) >= _ROWS_OUT or size >= _BYTES:
                 yield _batch(held, arrow)
-                held = []
+                held, size = [], 0
         if held:
             yield _batch(held, arrow)
 
     return frame.mapInArrow(batches, fields)
 
 
+def _size(value) -> int:
+    """About how many bytes a value takes."""
+    if isinstance(value, (str, bytes)):
+        return len(value)
+    if isinstance(value, dict):
+        return sum(map(_size, value.values()))
+    if isinstance(value, (list, tuple)) and value and not isinstance(value[0], (int, float)):
+        return sum(map(_size, value))
+    return 8 * len(value) if hasattr(value, "__len__") else 8
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays(

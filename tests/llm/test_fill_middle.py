@@ -1,0 +1,93 @@
+import hashlib
+import re
+
+import pytest
+import zstandard
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tables import documents, words
+
+from splitmetrics.llm import fill_middle
+
+COMPRESS = zstandard.ZstdCompressor().compress
+DECOMPRESS = zstandard.ZstdDecompressor().decompress
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def direct(doc_id, text, rate=100, spm_rate=50):
+    """n, form, prefix and middle lengths, output: by the text itself."""
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = sha(f"7:{'' if doc_id is None else doc_id}")
+    h = [int(digest[k : k + 8], 16) for k in (0, 8, 16, 24)]
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        return len(units), "plain", None, None, text
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h[3] % 100 < spm_rate:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+TEXTS = [
+    None, "", "\n", "\n\n\n", "one line", "one line\n", "a\n\nb", "x<P>y\nz", "<S>", "ends <", "<M", "<P\n>\n<", "é漢🙂\n" * 40,
+    "\r\n a \r\n", "P>\nS>\nM>\n<\n<S\n", *["\n".join(" ".join(words(k, 9)) for k in range(n)) for n in (2, 30, 300)],
+    "long " * 60_000, "l\n" * 100_000, ("w " * 50_000 + "\n") * 3,
+]
+
+
+@pytest.mark.parametrize("frame", [7, 1000, fill_middle.FRAME])
+def test_equals_direct_computation(spark, frame):
+    texts = [t for t in TEXTS if frame > 7 or len(t or "") < 5000]
+    rows = [*enumerate(texts), *((100 + k, texts[k % len(texts)]) for k in range(60)), (3, texts[3]), (None, "a\nb\nc"), (None, None)]
+    transformed = fill_middle.fill_in_middle(documents(spark, rows, clashing=True), frame)
+    expected = sorted(((i, *direct(i, t)[:4], sha(direct(i, t)[4]), sha(t or "")) for i, t in rows), key=repr)
+    assert sorted(map(tuple, fill_middle.digests(transformed).collect()), key=repr) == expected
+    whole = sorted(((r["doc_id"], r["form"], r["text"]) for r in fill_middle.texts(transformed).collect()), key=repr)
+    assert whole == sorted(((i, direct(i, t)[1], direct(i, t)[4]) for i, t in rows), key=repr)
+    assert {r[2] for r in expected} == {"plain", "psm", "spm"}
+
+
+def test_rates(spark):
+    rows = [(k, "a\nb\nc\n") for k in range(300)]
+    stored = fill_middle.store_texts(documents(spark, rows))
+    found = fill_middle.transform_stored(stored, rate=40, spm_rate=20)
+    assert {(r["doc_id"], r["form"]) for r in found.collect()} == {(i, direct(i, t, 40, 20)[1]) for i, t in rows}
+
+
+def test_empty_table(spark):
+    assert fill_middle.digests(fill_middle.fill_in_middle(documents(spark, []).limit(0))).count() == 0
+
+
+def test_only_cut_frames_are_opened():
+    data = b"".join(b"line %d\n" % k for k in range(5000))
+    text = fill_middle.Frames.of(data, 100, COMPRESS)
+    assert len(text.frames) > 400
+    chosen = fill_middle.Selection(text, COMPRESS, DECOMPRESS)
+    first, second = chosen.cut(1234), chosen.cut(4000)
+    parts = [chosen.part((0, 0, 0), first), chosen.part(first, second), chosen.part(second, (len(text.frames), 0, 0))]
+    assert chosen.opened == 2
+    lines = data.splitlines(keepends=True)
+    for part, expected in zip(parts, (lines[:1234], lines[1234:4000], lines[4000:]), strict=True):
+        assert b"".join(DECOMPRESS(f) for f, _ in part) == b"".join(expected)
+        assert sum(size for _, size in part) == len(b"".join(expected))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="<>PSMab\né🙂", max_size=60), st.integers(0, 10**6), st.integers(1, 9))
+def test_restoring_needs_output_and_form_only(text, doc_id, frame):
+    _, form, _, _, output = direct(doc_id, text)
+    kept = fill_middle.Frames.of(output.encode(), frame, COMPRESS)
+    back = b"".join(fill_middle.restored(kept.frames, kept.sizes, form, DECOMPRESS))
+    assert back.decode() == text
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=50), st.integers(1, 9), st.integers(0, 50), st.integers(0, 50))
+def test_stream_seeks(data, frame, a, b):
+    kept = fill_middle.Frames.of(data, frame, COMPRESS)
+    start, end = min(a, len(data)), min(b, len(data))
+    assert b"".join(fill_middle.stream(kept.frames, kept.sizes, start, end, DECOMPRESS)) == data[start:end]
