@@ -81,3 +81,28 @@ select doc_id, cast(n as bigint) as n, form,
     else concat('<S>', suffix, '<P>', prefix, '<M>', middle) end) as output_sha256,
   sha256(text) as restored_sha256
 from parts"""
+
+
+# All pairs, which DuckDB can only do for small tables.
+EMBEDDING_NEAR_DEDUP = """
+with recursive vectors as (
+  select vec_id, cast(embedding as double[]) as v,
+    coalesce(len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0, false) as usable
+  from embeddings
+),
+links as (
+  select a.vec_id as a, b.vec_id as b
+  from vectors a, vectors b
+  where a.vec_id <> b.vec_id and a.usable and b.usable and len(a.v) = len(b.v)
+    and case when a.usable and b.usable and len(a.v) = len(b.v) then list_cosine_similarity(a.v, b.v) >= 0.9 end
+),
+reached as (
+  select vec_id as a, vec_id as b from vectors
+  union
+  select r.a, l.b from reached r join links l on l.a = r.b
+)
+select vec_id, coalesce(n, 0) as n_links, first as component_id, vec_id = first as kept
+from vectors
+left join (select a, count(*) as n from links group by a) on a = vec_id
+join (select a as id, min(b) as first from reached group by a) on id = vec_id"""

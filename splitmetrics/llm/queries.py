@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from splitmetrics.llm import (
     bpe,
+    cap_filters,
     centroids,
     chat_formatting,
     expected,
@@ -109,6 +110,10 @@ def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fill_middle.digests(fill_middle.fill_in_middle(_documents(spark, folder)))
 
 
+def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return cap_filters.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_formatting": chat_formatting_query,
@@ -123,6 +128,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_packing": packing_query,
         "op11_centroid_clustering": centroid_clustering,
         "op12_fill_in_middle": fill_in_middle,
+        "op13_embedding_near_dedup": embedding_near_dedup,
     }
 
 
@@ -178,4 +184,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_suffix_array_dedup": _REPEATED_PASSAGES,
         "op11_centroid_clustering": expected.CENTROID_CLUSTERING,
         "op12_fill_in_middle": expected.FILL_IN_MIDDLE,
+        "op13_embedding_near_dedup": expected.EMBEDDING_NEAR_DEDUP,
     }

@@ -1,0 +1,150 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from splitmetrics.llm import cap_filters
+
+SCHEMA = "vec_id long, embedding array<double>, node string, vector string, copies string, links string, root string"
+
+
+def table(spark, rows, partitions=3):
+    return spark.createDataFrame([(i, v, *"abcde") for i, v in rows], SCHEMA).repartition(partitions)
+
+
+def brute(rows, least=0.9):
+    """By all pairs of rows."""
+
+    def usable(v):
+        return v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    def cosine(a, b):
+        a, b = ([x / max(map(abs, v)) for x in v] for v in (a, b))
+        return math.fsum(x * y for x, y in zip(a, b, strict=True)) / math.sqrt(
+            math.fsum(x * x for x in a) * math.fsum(y * y for y in b)
+        )
+
+    good = [usable(v) for _, v in rows]
+    near = {k: set() for k in range(len(rows))}
+    for a in range(len(rows)):
+        for b in range(a):
+            x, y = rows[a][1], rows[b][1]
+            if good[a] and good[b] and len(x) == len(y) and cosine(x, y) >= least:
+                near[a].add(b)
+                near[b].add(a)
+    found, seen = [], set()
+    for k in range(len(rows)):
+        if k not in seen:
+            group, todo = {k}, [k]
+            while todo:
+                fresh = near[todo.pop()] - group
+                group |= fresh
+                todo += fresh
+            seen |= group
+            ids = [rows[m][0] for m in group if rows[m][0] is not None]
+            first = min(ids, default=None)
+            found += [(rows[m][0], len(near[m]), first, rows[m][0] == first) for m in group]
+    return sorted(found, key=repr)
+
+
+def result(spark, rows, **options):
+    found = cap_filters.near_vectors(table(spark, rows), **options)
+    assert found.dtypes == [("vec_id", "bigint"), ("n_links", "bigint"), ("component_id", "bigint"), ("kept", "boolean")]
+    return sorted(map(tuple, found.collect()), key=repr)
+
+
+def vectors(seed, groups, each, dimension, spread):
+    """Groups of vectors around spots; their cosines are well away from 0.9 or not, by the spread."""
+    draw = np.random.default_rng(seed)
+    spots = cap_filters.units(draw.standard_normal((groups, dimension)))
+    return [
+        (s + spread * draw.standard_normal(dimension) / math.sqrt(dimension)).tolist() for s in spots for _ in range(each)
+    ]
+
+
+@pytest.mark.parametrize("dimension, spread", [(64, 0.25), (3, 0.1)])
+def test_equals_all_pairs(spark, dimension, spread):
+    rows = list(enumerate(vectors(dimension, 30, 6, dimension, spread)))
+    random.Random(1).shuffle(rows)
+    assert result(spark, rows) == brute(rows)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    base = vectors(5, 4, 3, 20, 0.1)
+    rows = [(10 + k, v) for k, v in enumerate(base)]
+    rows += [(1, base[0]), (1, base[0]), (2, [3e200 * x for x in base[0]]), (3, [1e-200 * x for x in base[3]]), (None, base[4]), (None, base[4])]
+    rows += [(50, None), (51, []), (52, [0.0] * 20), (53, [nan] * 20), (54, [inf] + [0.0] * 19), (55, [None] * 20), (50, None), (None, None)]
+    rows += [(60, [1.0]), (61, [2.5]), (62, [-1.0]), (63, [1.0, 0.0]), (64, [1.0, -0.0]), (65, [0.0, 1.0]), (66, [-1.0, 0.0])]
+    assert result(spark, rows) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert result(spark, []) == []
+
+
+def test_exactly_the_least_cosine(spark):
+    """0.9 itself links: 3-4-5 triangles and their like have rational cosines."""
+    rows = [(0, [10.0, 0.0]), (1, [9.0, math.sqrt(19)]), (2, [0.0, 5.0]), (3, [3.0, 4.0])]
+    assert result(spark, rows, cosine=0.8) == brute(rows, 0.8)
+    assert brute(rows, 0.8)[2][1] >= 1
+
+
+def test_large_groups_are_split_into_blocks(spark):
+    rows = list(enumerate(vectors(3, 1, 120, 64, 0.1) + vectors(4, 1, 60, 64, 0.33) + vectors(6, 20, 1, 64, 0.1)))
+    rows += [(500 + k, rows[0][1]) for k in range(70)]
+    found = result(spark, rows, block=9)
+    expected = brute(rows)
+    assert [r[2] for r in found] == [r[2] for r in expected]
+    links, all_links = (sum(r[1] for r in part) for part in (found, expected))
+    assert 0.99 * all_links <= links <= all_links
+
+
+def test_no_row_is_made_for_a_pair(spark):
+    rows = list(enumerate(vectors(3, 1, 300, 64, 0.1)))
+    classes = cap_filters.stage(cap_filters.classes_of(table(spark, rows)), "classes")
+    codes = {64: cap_filters.plan_codes(64, 300)}
+    blocks = cap_filters._in_blocks(classes, cap_filters.decoded(classes, codes), 512)
+    assert cap_filters._links(blocks, 0.9).count() <= blocks.count() < 300 * 100
+
+
+def test_recall_at_the_least_cosine():
+    """Random pairs at exactly 0.9, the hardest ones: at least 0.98 share a direction."""
+    draw = np.random.default_rng(7)
+    for dimension, count in ((64, 500), (64, 51_000), (64, 10**6), (16, 5000), (128, 50_000), (3, 1000)):
+        x = cap_filters.units(draw.standard_normal((600, dimension)))
+        y = draw.standard_normal((600, dimension))
+        y = cap_filters.units(y - (y * x).sum(axis=1)[:, None] * x)
+        y = 0.9 * x + math.sqrt(1 - 0.81) * y
+        codes = cap_filters.plan_codes(dimension, count)
+        a, b = (set(zip(*(part.tolist() for part in cap_filters.decode(z, codes)), strict=True)) for z in (x, y))
+        assert len({row for row, _ in a & b}) >= 0.98 * 600
+
+
+def test_list_decoding_finds_all_directions():
+    draw = np.random.default_rng(3)
+    for dimension in (2, 5, 16, 40):
+        x = cap_filters.units(draw.standard_normal((20, dimension)))
+        codes = cap_filters.plan_codes(dimension, 50, codes=2, shared=4)
+        found = set(zip(*(part.tolist() for part in cap_filters.decode(x, codes)), strict=True))
+        expected = set()
+        for code in codes:
+            rotation, words = code.parts()
+            turned, columns = x @ rotation, np.array_split(np.arange(dimension), code.blocks)
+            total = sum(
+                np.expand_dims(turned[:, c] @ w.T, [1 + m for m in range(code.blocks) if m != k])
+                for k, (w, c) in enumerate(zip(words, columns, strict=True))
+            ).reshape(20, -1)
+            expected |= {(int(r), code.first + int(w)) for r, w in zip(*np.nonzero(total >= code.height), strict=True)}
+        assert found == expected
+
+
+def test_shares_of_caps():
+    draw = np.random.default_rng(2)
+    for dimension, height in ((2, 0.5), (3, 0.7), (10, 0.4), (64, 0.2)):
+        x = cap_filters.units(draw.standard_normal((200_000, dimension)))
+        a, b = np.eye(dimension)[0], 0.9 * np.eye(dimension)[0] + math.sqrt(0.19) * np.eye(dimension)[1]
+        single, both = cap_filters.cap_shares(dimension, height, 0.9)
+        assert abs(single - (x @ a >= height).mean()) < 0.004
+        assert abs(both - ((x @ a >= height) & (x @ b >= height)).mean()) < 0.004

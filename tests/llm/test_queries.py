@@ -17,7 +17,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 13))
+    assert numbers == list(range(1, 14))
     assert set(queries.queries()) | {"pipeline"} <= set(registry.queries())
 
 
