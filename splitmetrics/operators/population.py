@@ -53,6 +53,8 @@ class Population:
         self.visitors = self._kept.where(self._eligible)
         self.orders = filters.within_days(orders, config.days_to_consider)
         self._traffic_counts = traffic_counts
+        #: Filled by ``caps.known_quantiles``.
+        self.quantiles: dict | None = None
 
     @cached_property
     def dimensions(self) -> list[str]:

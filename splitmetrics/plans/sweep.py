@@ -15,17 +15,11 @@ from pyspark.sql import functions as F
 from splitmetrics.functions import significance as sig
 from splitmetrics.functions.moments import count_true, moments, sample_variance
 from splitmetrics.operators import filters
+from splitmetrics.operators.caps import CUTOFFS, GM_LOW_LEVEL, LOW_TAIL, buyers_quantiles
 from splitmetrics.operators.pairing import beside_control
 from splitmetrics.operators.population import Population
-from splitmetrics.operators.quantiles import exact_quantiles
-
-# Upper cut-off levels 0.96 to 0.9875 by 0.0025, then 0.99 to 1 by 0.001;
-# the lower level of the margin sweep; low-tail levels 0 to 0.002 by 0.0001; bucket width.
-CUTOFFS = tuple(
-    [i / 10_000 for i in range(9_600, 9_876, 25)] + [i / 1_000 for i in range(990, 1_001)]
-)
-GM_LOW_LEVEL = 0.001
-LOW_TAIL = tuple(i / 10_000 for i in range(21))
+
+# Fixed value: bucket width.
 BUCKET_WIDTH = 5
 
 COLUMNS = (
@@ -51,13 +45,10 @@ def booking_histogram(population: Population) -> DataFrame:
 
 
 def gm_low_curve(population: Population) -> DataFrame:
-    """Margin at the low-tail quantile levels, one row each."""
-    curve = exact_quantiles(buyers(population), {"gm_usd": LOW_TAIL})
-    levels = F.array(*[F.lit(level) for level in LOW_TAIL])
-    points = F.transform(
-        "gm_usd", lambda amount, i: F.struct(amount.alias("amount"), F.get(levels, i).alias("quantile_point"))
-    )
-    return curve.select(F.inline(points))
+    """Margin at the low-tail quantile levels, one row each; none without buyers."""
+    amounts = buyers_quantiles(population, "gm_usd", LOW_TAIL) or ()
+    points = list(zip(amounts, LOW_TAIL, strict=False))
+    return population.visitors.sparkSession.createDataFrame(points, "amount double, quantile_point double")
 
 
 def _interval_stats(rows: DataFrame, value: str, caps: list[float]) -> DataFrame:
@@ -165,9 +156,8 @@ def _sweep(population: Population, metric: str, value: str, caps: list[float]) -
 
 
 def _caps(population: Population, measure: str, levels: Sequence[float]) -> list[float]:
-    """Quantiles of the buyers' totals, as numbers; without buyers their values do not matter."""
-    found = exact_quantiles(buyers(population), {measure: levels}).first()[measure]
-    return found or [0.0] * len(levels)
+    """Quantiles of the buyers' totals; without buyers their values do not matter."""
+    return buyers_quantiles(population, measure, levels) or [0.0] * len(levels)
 
 
 def booking_sweep(population: Population) -> DataFrame:

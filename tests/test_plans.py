@@ -173,3 +173,18 @@ def test_a_shopper_with_a_third_of_all_rows_is_split(spark, eager_skew_handling)
     per_contact = found.groupBy("contact_id").agg(F.max("visitor_id"))
     per_contact.collect()
     assert "skew=true" in plan_of(per_contact)
+
+
+def test_one_quantile_call_for_all_analyses_of_a_population(spark, monkeypatch):
+    from splitmetrics.operators import caps
+    from splitmetrics.plans import sweep
+    from splitmetrics.plans.cohort import cohort_summary
+    from splitmetrics.plans.summary import summary
+
+    calls = []
+    direct = caps.quantile_values
+    monkeypatch.setattr(caps, "quantile_values", lambda *a: calls.append(a) or direct(*a))
+    own = Population(sample_tables.visitors(spark, FOLDER), sample_tables.orders(spark, FOLDER), CONFIG)
+    for analysis in (sweep.gm_sweep, sweep.gm_low_curve, sweep.booking_sweep, summary, cohort_summary):
+        analysis(own).count()
+    assert len(calls) == 1
