@@ -109,15 +109,46 @@ def check_visitors(visitors: DataFrame) -> None:
 
 def conflicting_labels(visitors: DataFrame) -> DataFrame:
     """Cells whose id carries more than one name or role; empty in sound data."""
-    labels = visitors.groupBy("test_sub_id").agg(
-        F.count_distinct("test_sub_name").alias("names"),
-        F.count_distinct("control_test").alias("roles"),
-        F.count_distinct("test_name").alias("experiments"),
-    )
-    return labels.where("names > 1 or roles > 1 or experiments > 1")
+    names = ("test_sub_name", "control_test", "test_name")
+    ends = [end(name).alias(f"{end.__name__}_{name}") for name in names for end in (F.min, F.max)]
+    differs = [F.col(f"min_{name}") != F.col(f"max_{name}") for name in names]
+    return visitors.groupBy("test_sub_id").agg(*ends).where(differs[0] | differs[1] | differs[2])
+
+
+#: Ids of a bitmap and its bytes, and the bytes of a shuffled id with its count.
+_BITMAP_IDS, _BITMAP_BYTES, _ROW_BYTES = 32_768, 4_096, 16
 
 
 def repeated_visitors(visitors: DataFrame) -> DataFrame:
-    """Visitor ids that occur on more than one row; empty in sound data."""
-    copies = visitors.groupBy("visitor_id").agg(F.count("*").alias("copies"))
+    """Visitor ids that occur on more than one row; empty in sound data.
+
+    Every task marks its ids in bitmaps of 32,768 neighbouring ids each and only these are shuffled; where a range has more rows than
+    marked ids, its rows are looked at. That is the smaller exchange where a task holds many ids of a range. Where the
+    ids are scattered too widely for that, they are shuffled themselves.
+    """
+    ids = visitors.select("visitor_id")
+    placed = ids.withColumn("task", F.spark_partition_id())
+    low, high, count, tasks = placed.agg(
+        F.min("visitor_id"), F.max("visitor_id"), F.count("*"), F.max("task") + 1
+    ).first()
+    if low is None:
+        return _repeated(ids)
+    bitmaps = min((high - low) // _BITMAP_IDS + 2, count)
+    if bitmaps * _BITMAP_BYTES * tasks > count * _ROW_BYTES:
+        return _repeated(ids)
+    bucket = F.bitmap_bucket_number("visitor_id")
+    crowded = (
+        ids.groupBy(bucket.alias("bucket"))
+        .agg(
+            F.count("*").alias("rows"),
+            F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("visitor_id"))).alias("ids"),
+        )
+        .where("rows > ids")
+        .select(F.col("bucket").alias("crowded"))
+    )
+    return _repeated(ids.join(crowded, bucket.eqNullSafe(F.col("crowded")), "left_semi"))
+
+
+def _repeated(ids: DataFrame) -> DataFrame:
+    copies = ids.groupBy("visitor_id").agg(F.count("*").alias("copies"))
     return copies.where("copies > 1")

@@ -39,21 +39,63 @@ RUN_HISTORY = T.StructType(
 )
 
 
+_POINTER, _VERSION = "_current", "version-"
+
+
 def save_frame(frame: DataFrame, base: str, name: str, config: ExperimentConfig) -> None:
-    """Write one result frame, replacing only this experiment's partition.
+    """Write one result frame as a new version, replacing only this experiment's rows.
 
-    The new rows are written beside it first, so a write that fails leaves the old ones.
+    The version becomes the current one by the rename of a pointer file, which either happens or does not. So a
+    write that fails anywhere leaves the old rows, and a reader that has begun goes on with the version it found: the one before is
+    kept until the next save.
     """
     spark = frame.sparkSession
-    target = f"{base}/{name}/{_partition(config)}"
-    fresh = f"{base}/{name}/_writing-{uuid4().hex}"
-    frame.write.parquet(fresh)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
-    remove(spark, target)
-    files.mkdirs(path(target).getParent())
-    if not files.rename(path(fresh), path(target)):
-        raise OSError(f"{fresh} could not be moved to {target}")
+    folder = f"{base}/{name}/{_partition(config)}"
+    before = _current(spark, folder)
+    fresh = f"{_VERSION}{uuid4().hex}"
+    frame.write.parquet(f"{folder}/{fresh}")
+    _point_to(spark, folder, fresh)
+    for found in _children(spark, folder):
+        if found not in (_POINTER, fresh, before):
+            remove(spark, f"{folder}/{found}")
+
+
+def _files(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _children(spark: SparkSession, folder: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return [f.getPath().getName() for f in _files(spark, folder).listStatus(path)]
+
+
+def _current(spark: SparkSession, folder: str) -> str | None:
+    """The version that the pointer file names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{_POINTER}")
+    files = _files(spark, folder)
+    if not files.exists(path):
+        return None
+    source = files.open(path)
+    try:
+        return source.readUTF()
+    finally:
+        source.close()
+
+
+def _point_to(spark: SparkSession, folder: str, version: str) -> None:
+    """Name the version in a file of its own and rename it to the pointer, over the old one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    written = hadoop.Path(f"{folder}/{_POINTER}-{version}")
+    out = _files(spark, folder).create(written, True)
+    try:
+        out.writeUTF(version)
+    finally:
+        out.close()
+    overwrite = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    overwrite[0] = hadoop.Options.Rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(written.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(written, hadoop.Path(f"{folder}/{_POINTER}"), overwrite)
 
 
 def _partition(config: ExperimentConfig) -> str:
@@ -66,8 +108,12 @@ def save_frames(frames: dict[str, DataFrame], base: str, config: ExperimentConfi
 
 
 def load_frame(spark: SparkSession, base: str, name: str, config: ExperimentConfig) -> DataFrame:
-    """The saved frame of one experiment; nothing of the others is listed or read."""
-    return spark.read.parquet(f"{base}/{name}/{_partition(config)}")
+    """The current version of one experiment's frame; nothing of the others is listed or read."""
+    folder = f"{base}/{name}/{_partition(config)}"
+    version = _current(spark, folder)
+    if version is None:
+        raise FileNotFoundError(f"no saved frame in {folder}")
+    return spark.read.parquet(f"{folder}/{version}")
 
 
 def cutoff_frame(spark: SparkSession, config: ExperimentConfig) -> DataFrame:

@@ -1,0 +1,142 @@
+"""Attribution through filters and classes, and the stores and checks beside it."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from splitmetrics import schema
+from splitmetrics.config import ExperimentConfig
+from splitmetrics.operators import bloom
+from splitmetrics.operators.attribution import attribute_contacts, attribute_orders, link_contacts, of_visitors
+from splitmetrics.sources import results, sample_tables
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def people(spark, count, first=0):
+    return spark.range(first, first + count).selectExpr(
+        "id as visitor_id", "1 as test_id", "'E' as test_name", "cast(100 + id % 2 as int) as test_sub_id",
+        "'cell' as test_sub_name", "'T' as control_test", "date'2024-01-01' as touch_date",
+    )
+
+
+def raw_orders(spark, count, visitors):
+    return spark.range(0, count, 1, 4).selectExpr(
+        f"id % {visitors} as visitor_id", "id as order_id", "date'2024-01-02' as order_date",
+        "1D as booking_usd", "1D as gm_usd",
+    )
+
+
+@pytest.mark.parametrize("ids", [1, 700, 20_000])
+def test_filter_has_no_false_negative_and_few_false_positives(spark, ids):
+    words = bloom.words_for(ids)
+    table = bloom.bloom_filter(people(spark, ids), "visitor_id", words)
+    assert table.count() <= words
+    passed = bloom.probably_in(spark.range(60_000).withColumnRenamed("id", "visitor_id"), "visitor_id", table, words)
+    assert passed.columns == ["visitor_id"]
+    found = {r[0] for r in passed.collect()}
+    assert set(range(ids)) <= found
+    assert len(found) <= ids + 0.03 * 60_000
+
+
+def test_filter_size_is_bounded():
+    assert bloom.words_for(0) == 1
+    assert bloom.words_for(10**7) <= bloom.MOST_WORDS
+    assert bloom.words_for(2 * 10**7) == bloom.MOST_WORDS
+    assert bloom.words_for(10**9) is None
+
+
+def test_foreign_orders_are_dropped_before_the_shuffle(spark, tmp_path):
+    raw_orders(spark, 40_000, 10_000).write.parquet(f"{tmp_path}/orders")
+    orders = spark.read.parquet(f"{tmp_path}/orders")
+    kept = of_visitors(orders, people(spark, 500), 500)
+    assert 2_000 <= kept.count() <= 2_000 + 0.03 * 40_000
+    attributed = attribute_orders(people(spark, 500), orders, 7)
+    assert attributed.count() == 2_000
+    lines = plan_of(attributed).splitlines()
+    scan = next(k for k, line in enumerate(lines) if "FileScan" in line and "order_id" in line)
+    above = [line for line in lines[:scan] if "Exchange" in line or "BroadcastHashJoin" in line]
+    assert any("_word" in line and "BroadcastHashJoin" in line for line in above)
+
+
+def test_a_test_too_large_for_a_filter_goes_without(spark, monkeypatch):
+    monkeypatch.setattr(bloom, "MOST_WORDS", 4)
+    orders = raw_orders(spark, 4_000, 1_000)
+    assert bloom.words_for(500) is None
+    assert attribute_orders(people(spark, 500), orders, 7).count() == 2_000
+
+
+def test_no_visitors_or_null_ids(spark):
+    orders = raw_orders(spark, 100, 10).withColumn("visitor_id", F.when(F.col("order_id") > 50, F.col("visitor_id")))
+    assert attribute_orders(people(spark, 0), orders, 7).count() == 0
+    assert attribute_orders(people(spark, 10), orders, 7).count() == 49
+
+
+def test_links_expand_to_the_attributed_contacts(spark):
+    visitors = sample_tables.visitors(spark, FOLDER)
+    contacts = sample_tables.raw_contacts(spark, FOLDER)
+    links = link_contacts(visitors, contacts, 7)
+    expected = sorted(map(str, attribute_contacts(visitors, contacts, 7).collect()))
+    assert sorted(map(str, links.listed().collect())) == expected and expected
+    per_visitor = {r["visitor_id"]: r["n"] for r in links.listed().groupBy("visitor_id").agg(F.count("*").alias("n")).collect()}
+    assert {r["visitor_id"]: r["contacts"] for r in links.counts().collect()} == per_visitor
+
+
+def test_links_of_a_hot_shopper_are_linear(spark):
+    visitors = spark.range(3_000).selectExpr(
+        "id as visitor_id", "if(id % 3 = 0, 7L, id) as shopper_key", "date_add(date'2024-01-01', cast(id % 9 as int)) as touch_date"
+    )
+    contacts = spark.range(3_000).selectExpr(
+        "if(id % 3 = 0, 7L, id) as shopper_key", "id as contact_id", "timestamp_ntz'2024-01-05 10:00:00' as contact_ts"
+    )
+    links = link_contacts(visitors, contacts, 4)
+    assert links.classes.count() <= 3_000
+    pairs = links.classes.agg(F.sum(F.col("visitors") * F.col("contacts"))).first()[0]
+    assert pairs == links.listed().count() > 300_000
+
+
+def test_a_save_that_fails_before_the_switch_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    config, base = ExperimentConfig(test_id=1, test_type_id=1, control_id=100), str(tmp_path)
+    results.save_frame(spark.range(3), base, "numbers", config)
+
+    def fails(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(results, "_point_to", fails)
+    with pytest.raises(OSError, match="lost"):
+        results.save_frame(spark.range(9), base, "numbers", config)
+    assert results.load_frame(spark, base, "numbers", config).count() == 3
+    monkeypatch.undo()
+    open_reader = results.load_frame(spark, base, "numbers", config)
+    results.save_frame(spark.range(5), base, "numbers", config)
+    assert results.load_frame(spark, base, "numbers", config).count() == 5
+    assert open_reader.count() == 3
+    results.save_frame(spark.range(6), base, "numbers", config)
+    folder = tmp_path / "numbers" / "test_type_id=1" / "test_id=1"
+    assert len(list(folder.glob("version-*"))) == 2
+    with pytest.raises(FileNotFoundError):
+        results.load_frame(spark, base, "others", config)
+
+
+@pytest.mark.parametrize("step, marked", [(1, True), (10**9, False)])
+def test_repeated_ids_are_found_with_and_without_bitmaps(spark, step, marked):
+    ids = [k * step for k in range(40_000)]
+    visitors = spark.createDataFrame([(i,) for i in [*ids, 5 * step, 39_000 * step, 5 * step]], "visitor_id long").coalesce(2)
+    repeated = schema.repeated_visitors(visitors)
+    assert sorted(map(tuple, repeated.collect())) == [(5 * step, 3), (39_000 * step, 2)]
+    assert ("bitmap_construct_agg" in plan_of(repeated)) == marked
+    assert schema.repeated_visitors(visitors.distinct()).count() == 0
+
+
+def test_repeated_null_ids_and_no_ids(spark):
+    frame = spark.createDataFrame([(1,), (2,), (None,), (None,)], "visitor_id long").coalesce(1)
+    assert [r["visitor_id"] for r in schema.repeated_visitors(frame).collect()] == [None]
+    assert schema.repeated_visitors(frame.where("false")).count() == 0
+
+
+def test_labels_are_checked_without_counting_distinct_ones(spark):
+    plan = plan_of(schema.conflicting_labels(people(spark, 10)))
+    assert "Expand" not in plan and plan.count("Exchange") == 1
