@@ -226,6 +226,16 @@ def contact_attribution(spark, folder):
     )
 
 
+def contact_links(spark, folder):
+    """Touch classes with their visitors and contacts, without a row for each pair."""
+    links = attribution.link_contacts(
+        sample_tables.visitors(spark, folder),
+        sample_tables.raw_contacts(spark, folder),
+        CONFIG.contact_days,
+    )
+    return links.classes
+
+
 def population(population: Population) -> DataFrame:
     """Visitors and orderers of each cell and touch date, at the visitor grain."""
     return population.joined_counts("visitor", "touch_date")
@@ -371,6 +381,7 @@ _QUERIES: dict[str, Query] = {
     "order_attribution": order_attribution,
     "credit_attribution": credit_attribution,
     "contact_attribution": contact_attribution,
+    "contact_links": contact_links,
     "visitor_order_rollup": _of_population(visitor_order_rollup),
     "buyer_rollup": _of_population(buyer_rollup),
     "first_order_rollup": _of_population(first_order_rollup),
