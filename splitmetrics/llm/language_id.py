@@ -55,6 +55,10 @@ def features(text: str) -> np.ndarray:
     return unit(byte_ngrams(text.lower().encode("utf-8", "surrogatepass"), _SIZES, _BITS))
 
 
+#: Rows of a language, however many languages there are.
+_LEAST_ROWS = 20
+
+
 @dataclass
 class LanguageModel:
     families: list[str]
@@ -83,8 +87,9 @@ class LanguageModel:
         return language, float(shares[best]) * trust[language]
 
 
-def _counts(labelled: DataFrame, max_languages: int) -> dict[str, int]:
-    rows = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
+def _counts(labelled: DataFrame) -> dict[str, int]:
+    """Rows of every language: one row of the driver for each."""
+    rows = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang")
     return {row["lang"]: row["count"] for row in rows.collect()}
 
 
@@ -92,18 +97,19 @@ def fit(
     documents: DataFrame,
     training: Column,
     rows_per_language: int = 600,
-    max_languages: int = 64,
+    sample_rows: int = 40_000,
     penalty: float = 1e-5,
 ) -> LanguageModel:
     """Learn from ``text`` and ``lang`` of the rows that ``training`` selects.
 
-    Rows without a language or without text are left out. Without any row the model predicts ``und``.
+    About ``rows_per_language`` rows of every language are read, or fewer of each where there are so many languages
+    that ``sample_rows`` would be exceeded; no language is left out. Rows without a language or without text are
+    not used, and repeated rows count once. Without any row the model predicts ``und``.
     """
     labelled = documents.where(training).where("lang is not null and text is not null")
-    counts = _counts(labelled, max_languages)
-    share = F.create_map(
-        *[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, rows_per_language / n))]
-    )
+    counts = _counts(labelled)
+    each = max(_LEAST_ROWS, min(rows_per_language, sample_rows // max(1, len(counts))))
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, each / n))])
     keyed = labelled.select("lang", "text", F.xxhash64("doc_id", "text").alias("key"))
     chance = F.pmod("key", F.lit(1 << 20)) / F.lit(float(1 << 20))
     if counts:
@@ -143,7 +149,10 @@ def _fitted(matrix: np.ndarray, names: list[str], penalty: float) -> LanguageMod
 
 
 def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
-    """doc_id, lang_pred and score of every row; ``text`` is all that a prediction sees."""
+    """doc_id, lang_pred and score of every row; ``text`` is all that a prediction sees.
+
+    Repeated rows have repeated results; an empty table gives none.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def predict(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -160,10 +169,10 @@ def held_out(folds: int = 5) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False))
 
 
-def keep_identified(documents: DataFrame, model: LanguageModel, min_score: float = 0.2) -> DataFrame:
-    """The rows whose language is determined with at least ``min_score``, with all columns.
+def keep_identified(documents: DataFrame, model: LanguageModel, min_score: float = 0.0) -> DataFrame:
+    """The rows whose language is determined, with at least ``min_score`` if one is asked, with all columns.
 
-    Null texts and texts without a letter are rejected. The rows pass through Python whole, so
+    Null texts and texts without a letter are rejected, and nothing else by default. The rows pass through Python whole, so
     that nothing is joined.
     """
     importable(documents.sparkSession)

@@ -53,6 +53,27 @@ def logistic(
     return _descend(gradient, np.zeros((count, x.shape[1]), x.dtype), 1 / (_norm(x) / 2 + penalty), rounds)
 
 
+def binary_logistic(
+    x: np.ndarray, shares: np.ndarray, positive: np.ndarray, penalty: float = 1e-5, rounds: int = 300
+) -> np.ndarray:
+    """Weights of a logistic regression, over rows with a weight each; ``x`` brings its column of ones.
+
+    The matrix is used as it is, so no copy of it is made.
+    """
+    target = positive.astype(x.dtype)
+    each = (shares / max(shares.sum(), 1)).astype(x.dtype)
+
+    def gradient(w: np.ndarray) -> np.ndarray:
+        return ((sigmoid(x @ w) - target) * each) @ x + x.dtype.type(penalty) * w
+
+    v = np.full(x.shape[1], 1 / np.sqrt(x.shape[1]), x.dtype)
+    for _ in range(20):
+        v = ((x @ v) * each) @ x
+        size = max(float(np.linalg.norm(v)), 1e-12)
+        v = v / x.dtype.type(size)
+    return _descend(gradient, np.zeros(x.shape[1], x.dtype), 1 / (size / 4 + penalty), rounds).astype(x.dtype)
+
+
 def support_vectors(
     features: np.ndarray, positive: np.ndarray, penalty: float = 1e-5, rounds: int = 300
 ) -> np.ndarray:

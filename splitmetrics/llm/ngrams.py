@@ -1,4 +1,4 @@
-"""Hashed n-grams of bytes as feature vectors."""
+"""Hashed n-grams of bytes or code points as feature vectors."""
 
 from __future__ import annotations
 
@@ -11,13 +11,22 @@ _MULTIPLIER = np.uint32(2654435761)
 
 def byte_ngrams(data: bytes, sizes: tuple[int, ...], bits: int) -> np.ndarray:
     """How often each of the ``2 ** bits`` hash values of the n-grams (n up to 4) of ``data`` occurs."""
+    return _ngrams(np.frombuffer(data, np.uint8), sizes, bits)
+
+
+def character_ngrams(text: str, sizes: tuple[int, ...], bits: int) -> np.ndarray:
+    """The same of the code points of a text."""
+    return _ngrams(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), sizes, bits)
+
+
+def _ngrams(units: np.ndarray, sizes: tuple[int, ...], bits: int) -> np.ndarray:
     counts = np.zeros(1 << bits, np.int64)
     shift = np.uint32(32 - bits)
     reach = max(sizes) - 1
-    for at in range(0, len(data), _BLOCK):
-        piece = np.frombuffer(data[at : at + _BLOCK + reach], np.uint8).astype(np.uint32)
+    for at in range(0, len(units), _BLOCK):
+        piece = units[at : at + _BLOCK + reach].astype(np.uint32)
         for n in sizes:
-            starts = min(_BLOCK, len(data) - at - n + 1, len(piece) - n + 1)
+            starts = min(_BLOCK, len(units) - at - n + 1, len(piece) - n + 1)
             if starts <= 0:
                 continue
             value = np.full(starts, n, np.uint32)

@@ -1,7 +1,8 @@
 """Quality rules: fixed rules on counts, then a calibrated classifier over hashed n-grams.
 
-A logistic regression over hashed words and byte n-grams is fitted on labelled rows. Part of the sample is kept
-aside to turn its scores into probabilities (Platt scaling). Documents are scored in Arrow batches;
+A logistic regression over hashed words, pairs of words and n-grams of characters (code points) is fitted on labelled rows. Part
+of the sample is kept aside to turn its scores into probabilities (Platt scaling). Rows reach the driver as
+their non-zero features only. Documents are scored in Arrow batches;
 a document is kept if no rule fails and the probability of good quality reaches a fixed threshold.
 
 The sample is at most about ``sample_rows`` labelled rows, those with the smallest hashes of doc_id. Its bound is also
@@ -20,8 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from splitmetrics.llm.linear import logistic, platt, sigmoid
-from splitmetrics.llm.ngrams import byte_ngrams, unit
+from splitmetrics.llm.linear import binary_logistic, platt, sigmoid
+from splitmetrics.llm.ngrams import character_ngrams, unit
 from splitmetrics.llm.rows import map_rows
 
 # What counts as a word and as a symbol, and the limits of the rules.
@@ -31,8 +32,9 @@ LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
 _SIZES = (2, 3, 4)
-_BITS = 11
+_BITS = 12
 _REMEMBERED = 1 << 20
+_MULTIPLIER = np.uint32(2654435761)
 
 
 class _Buckets(dict):
@@ -83,10 +85,25 @@ def _in_repeated_windows(words: list[str], width: int = 3) -> int:
 
 
 def features(text: str, words: list[str], buckets: dict[str, int]) -> np.ndarray:
-    """Two vectors of length one, for words and for byte n-grams, side by side."""
-    hashed = np.fromiter(map(buckets.__getitem__, words), np.int64, len(words))
-    own = unit(np.bincount(hashed, minlength=1 << _BITS))
-    return np.concatenate([own, unit(byte_ngrams(text.encode("utf-8", "surrogatepass"), _SIZES, _BITS))])
+    """Two vectors of length one side by side: words with their pairs, and n-grams of characters."""
+    hashed = np.fromiter(map(buckets.__getitem__, words), np.uint32, len(words))
+    pairs = (hashed[:-1] * _MULTIPLIER + hashed[1:] + np.uint32(1)) * _MULTIPLIER >> np.uint32(32 - _BITS)
+    own = np.bincount(hashed, minlength=1 << _BITS) + np.bincount(pairs, minlength=1 << _BITS)
+    return np.concatenate([unit(own), unit(character_ngrams(text, _SIZES, _BITS))])
+
+
+def _packed(vector: np.ndarray) -> tuple[bytes, bytes]:
+    places = np.flatnonzero(vector).astype(np.uint16)
+    return places.tobytes(), vector[places].tobytes()
+
+
+def _unpacked(places: list, values: list) -> np.ndarray:
+    """The rows as a matrix with a last column of ones, filled in place."""
+    matrix = np.zeros((len(places), (2 << _BITS) + 1), np.float32)
+    matrix[:, -1] = 1
+    for row, (at, value) in enumerate(zip(places, values, strict=True)):
+        matrix[row, np.frombuffer(at.as_buffer(), np.uint16)] = np.frombuffer(value.as_buffer(), np.float32)
+    return matrix
 
 
 @dataclass
@@ -103,7 +120,7 @@ class QualityModel:
 def fit(
     documents: DataFrame,
     labels: DataFrame,
-    sample_rows: int = 3000,
+    sample_rows: int = 4000,
     held_out: float = 0.25,
     penalty: float = 3e-5,
 ) -> QualityModel | None:
@@ -123,32 +140,32 @@ def fit(
         for doc_id, text, good in rows:
             words = WORD.findall(text)
             if words:
-                yield doc_id, good, features(text, words, buckets).tobytes()
+                yield doc_id, good, *_packed(features(text, words, buckets))
 
     # One text for an id, however many rows it has.
     sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
     sample = sample.agg(F.min("text").alias("text"), F.first("good").alias("good"))
-    found = map_rows(sample, rows_of, "doc_id long, good boolean, vector binary").toArrow()
+    found = map_rows(sample, rows_of, "doc_id long, good boolean, places binary, features binary").toArrow()
     good = np.array(found["good"].to_pylist(), bool)
     if not good.any() or good.all():
         return None
-    matrix = np.stack([np.frombuffer(v, np.float32) for v in found["vector"].to_pylist()])
-    order = np.lexsort((matrix[:, ::64].sum(axis=1), found["doc_id"].to_numpy()))
-    return _fitted(matrix[order], good[order], held_out, penalty)
+    found = found.take(np.argsort(found["doc_id"].to_numpy(), kind="stable"))
+    good = np.array(found["good"].to_pylist(), bool)
+    return _fitted(_unpacked(found["places"], found["features"]), good, held_out, penalty)
 
 
 def _fitted(matrix: np.ndarray, good: np.ndarray, held_out: float, penalty: float) -> QualityModel:
+    """``matrix`` has a last column of ones. Rows that are kept aside have no weight in the fit."""
     aside = np.zeros(len(good), bool)
     for kind in (False, True):  # of either kind the same share, spread over the sample
         rows = np.flatnonzero(good == kind)
         aside[rows[:: max(2, round(1 / held_out))]] = len(rows) > 1
     if aside.all() or not (good[~aside].any() and not good[~aside].all()):
         aside[:] = False
-    both = logistic(matrix[~aside], good[~aside].astype(int), 2, penalty, 400)
-    weights = both[1] - both[0]
+    weights = binary_logistic(matrix, np.where(aside, 0, 1), good, penalty, 400)
     rest = aside if aside.any() else ~aside
-    scores = matrix[rest].astype(np.float64) @ weights[:-1] + weights[-1]
-    return QualityModel(weights.astype(np.float32), *platt(scores, good[rest]))
+    scores = (matrix @ weights).astype(np.float64)[rest]
+    return QualityModel(weights, *platt(scores, good[rest]))
 
 
 def judge(documents: DataFrame, model: QualityModel | None, threshold: float = 0.5) -> DataFrame:

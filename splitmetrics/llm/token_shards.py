@@ -85,26 +85,31 @@ class Layout:
         return np.dtype([("head", _HEADER), ("ids", f"<u{self.width}", (self.length,))])
 
 
+def _is_scan(documents: DataFrame) -> bool:
+    """Whether every row is one row of a file: a scan, with nothing but filters and columns above."""
+    plan = documents._jdf.queryExecution().optimizedPlan().toString()
+    steps = [line.lstrip(" :+-").split(" ")[0].split("[")[0] for line in plan.splitlines() if line.strip()]
+    return steps[-1] == "Relation" and set(steps) <= {"Project", "Filter", "Relation"}
+
+
 def _numbered(documents: DataFrame) -> tuple[DataFrame, int]:
     """The documents with a ``number`` of their own, below the number of rows that is returned.
 
-    Rows are numbered by their place in their files, which no retry changes; a frame that is not read
-    from files is written to the shared folder first.
+    Rows are numbered by their place in their files, which no retry changes; a frame that is more than a scan of
+    files is written to the shared folder first. A file's first number is a running sum over the files, which
+    stay on the cluster.
     """
-    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_index")]
     columns = ["doc_id", "text"]
-    try:
-        placed = documents.select(*columns, *place)
-        placed.schema  # noqa: B018  resolves the columns
-    except Exception:  # no file behind the frame, so that the hidden column does not exist
-        placed = stage(documents.select(*columns), "numbered").select(*columns, *place)
+    if not _is_scan(documents):
+        documents = stage(documents.select(*columns), "numbered")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_index")]
+    placed = documents.select(*columns, *place)
     sizes = placed.groupBy("file").agg((F.max("row_index") + 1).alias("rows"))
-    before, starts = 0, {}
-    for file, rows in sorted(sizes.collect()):  # a row for each file
-        starts[file], before = before, before + rows
-    first = F.broadcast(placed.sparkSession.createDataFrame(list(starts.items()) or [("", 0)], "file string, before long"))
+    upto = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, 0)
+    files = sizes.withColumn("past", F.sum("rows").over(upto))
+    files = stage(files.select("file", (F.col("past") - F.col("rows")).alias("before"), "past"), "files")
     number = (F.col("before") + F.col("row_index")).alias("number")
-    return placed.join(first, "file").select(number, *columns), before
+    return placed.join(files, "file").select(number, *columns), files.agg(F.max("past")).first()[0] or 0
 
 
 def _folder(path: str) -> tuple[pyarrow.fs.FileSystem, str]:

@@ -1,3 +1,4 @@
+import itertools
 import zlib
 
 import pytest
@@ -73,3 +74,45 @@ def test_unknown_languages_are_families_of_their_own(spark):
     model = language_id.fit(docs, F.lit(True))
     found = language_id.identify(docs, model).collect()
     assert all(r["lang_pred"] == ("q1" if r["doc_id"] % 2 == 0 else "q2") for r in found)
+
+
+def test_no_language_is_left_out(spark):
+    """More languages than any list of common ones; each has words of its own."""
+    rows = [(lang * 100 + k, " ".join(f"{chr(97 + lang % 26)}{chr(97 + lang // 26)}{w}" for w in ("ka", "to", "mi", "su")), f"l{lang:02d}") for lang in range(90) for k in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    for limits in ({}, {"sample_rows": 300}):
+        model = language_id.fit(docs, F.lit(True), **limits)
+        found = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(docs, model).collect()}
+        assert sum(found[i] == lang for i, _, lang in rows) >= 0.98 * len(rows)
+        assert len(set(found.values())) == 90
+
+
+def test_predictions_equal_those_of_the_weights(spark):
+    """A second computation of family shares and pairwise votes, by plain loops."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language_id.fit(docs, ~language_id.held_out())
+    found = {r["doc_id"]: r for r in language_id.identify(docs, model).collect()}
+    for row in docs.select("doc_id", "text").collect():
+        text = row["text"]
+        if not text or not any(map(str.isalpha, text)):
+            assert found[row["doc_id"]]["lang_pred"] == "und"
+            continue
+        x = [*language_id.features(text).astype(float), 1.0]
+        raw = [sum(a * b for a, b in zip(w, x)) for w in model.family_weights.astype(float)]
+        members = model.languages[model.families[raw.index(max(raw))]]
+        votes = {}
+        for a, b in itertools.combinations(members, 2):
+            margin = sum(p * q for p, q in zip(model.pair_weights[a, b].astype(float), x))
+            for lang, sign in ((a, 1), (b, -1)):
+                n, total = votes.get(lang, (0, 0.0))
+                votes[lang] = (n + (margin >= 0) if sign == 1 else n + (margin < 0), total + sign * margin)
+        best = max(members, key=lambda k: votes.get(k, (0, 0.0)))
+        assert found[row["doc_id"]]["lang_pred"] == best
+
+
+def test_clean_texts_stay_whatever_their_score(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language_id.fit(docs, ~language_id.held_out())
+    texts = ["the", "la", "der die", "el los la le", "x", "the la der el of de und y"]
+    short = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert language_id.keep_identified(short, model).count() == len(texts)

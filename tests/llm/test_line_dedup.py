@@ -1,6 +1,6 @@
 import random
 
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from tables import documents, words
 
@@ -8,6 +8,7 @@ from splitmetrics.llm import line_dedup
 from splitmetrics.llm.line_dedup import aligned
 
 
+@settings(deadline=None)
 @given(st.lists(st.integers(0, 12), max_size=25), st.lists(st.integers(0, 12), max_size=25))
 def test_blocks_are_an_alignment(later, earlier):
     """Blocks lie in order in both texts, with the same lines, apart from each other."""
@@ -22,6 +23,7 @@ def test_blocks_are_an_alignment(later, earlier):
         at_j = where[0] + 1 if where else at_j
 
 
+@settings(deadline=None)
 @given(st.lists(st.integers(0, 10_000), min_size=1, max_size=30, unique=True), st.data())
 def test_a_common_run_of_unique_lines_is_found(run, data):
     before = data.draw(st.lists(st.integers(20_000, 30_000), max_size=9))
@@ -110,6 +112,7 @@ def shared_runs(later, earlier, least, long):
     return gone
 
 
+@settings(deadline=None)
 @given(
     st.lists(st.integers(0, 6), max_size=20), st.lists(st.integers(0, 6), max_size=20), st.integers(1, 4), st.data()
 )

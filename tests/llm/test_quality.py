@@ -1,11 +1,15 @@
+import math
 import random
 import re
+from collections import Counter
 
-from hypothesis import given
+import numpy as np
+import xxhash
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from tables import documents, words
 
-from splitmetrics.llm import quality
+from splitmetrics.llm import linear, ngrams, quality
 
 
 def brute(text):
@@ -22,6 +26,7 @@ def brute(text):
     return (len(parts), sum(map(len, parts)), sum(c in "#*$%&|<>" for c in text), dup, len(marked), failed)
 
 
+@settings(deadline=None)
 @given(st.text(alphabet="ab# \n\t\x0b\x1cé|") | st.lists(st.sampled_from("abc"), max_size=90).map(" ".join))
 def test_counts(text):
     c = quality.counts(text, quality.WORD.findall(text))
@@ -65,3 +70,63 @@ def test_without_labels_the_rules_decide(spark):
 def test_empty_table(spark):
     docs = documents(spark, []).limit(0)
     assert quality.judge(docs, None).count() == 0
+
+
+def test_the_fit_is_the_best_and_probabilities_are_those_of_its_weights(spark):
+    """A second computation: the gradient of the penalised loss is nearly zero, and scores are sums over features."""
+    draw = np.random.default_rng(4)
+    x = np.hstack([draw.standard_normal((200, 6)), np.ones((200, 1))])
+    good = x[:, 0] + 0.5 * draw.standard_normal(200) > 0
+    shares = (np.arange(200) % 4 > 0).astype(int)
+    w = linear.binary_logistic(x, shares, good, 1e-2, 3000)
+    used = shares.astype(bool)
+    loss = 1 / (1 + np.exp(-x[used] @ w)) - good[used]
+    assert np.abs(x[used].T @ loss / used.sum() + 1e-2 * w).max() < 1e-6
+
+    rows, labels = corpus(spark)
+    docs = documents(spark, rows)
+    model = quality.fit(docs, labels)
+    chances = {r["doc_id"]: r["probability"] for r in quality.judge(docs, model).collect()}
+    for doc_id, text in rows:
+        parts = text.split()
+        hashed = [xxhash.xxh32_intdigest(w) >> 20 for w in parts]
+        terms = Counter(hashed) + Counter(
+            ((a * 2654435761 + b + 1) * 2654435761 % 2**32) >> 20 for a, b in zip(hashed, hashed[1:])
+        )
+        grams = Counter()
+        for n in (2, 3, 4):
+            for at in range(len(text) - n + 1):
+                value = n
+                for c in text[at : at + n]:
+                    value = (value + ord(c) + 1) * 2654435761 % 2**32
+                grams[((value ^ value >> 15) * 2654435761 % 2**32) >> 20] += 1
+        score = float(model.weights[-1])
+        for offset, found in ((0, terms), (4096, grams)):
+            total = sum(found.values())
+            score += sum(math.sqrt(n / total) * float(model.weights[offset + k]) for k, n in found.items())
+        expected = 1 / (1 + math.exp(-(model.slope * score + model.constant)))
+        if chances[doc_id] is not None:
+            assert abs(chances[doc_id] - expected) < 1e-4
+
+
+def test_characters_are_code_points():
+    a, b = (ngrams.character_ngrams(t, (2,), 12) for t in ("é漢🙂", "漢🙂é"))
+    assert a.sum() == b.sum() == 2 and (a != b).any()
+    assert ngrams.character_ngrams("ab", (2,), 12).tolist() == ngrams.byte_ngrams(b"ab", (2,), 12).tolist()
+
+
+def test_very_long_text(spark):
+    rows, labels = corpus(spark)
+    long = " ".join(words(5, 300_000))
+    docs = documents(spark, [*rows, (999, long)])
+    found = [r for r in quality.judge(docs, quality.fit(docs, labels)).collect() if r["doc_id"] == 999]
+    assert found[0]["n_words"] == 300_000 and found[0]["probability"] is not None
+
+
+def test_an_even_vote_counts_as_good(spark):
+    rows, _ = corpus(spark)
+    labels = [(k, int(k % 4 != 0)) for k in range(120)]
+    votes = [(k, 1 - q) for k, q in labels if q]
+    frames = [spark.createDataFrame(x, "doc_id long, quality int") for x in (labels, labels + votes)]
+    models = [quality.fit(documents(spark, rows), f) for f in frames]
+    assert np.allclose(models[0].weights, models[1].weights)

@@ -2,7 +2,7 @@ import os
 import zlib
 
 import numpy as np
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from tables import documents, words
 
@@ -10,6 +10,7 @@ from splitmetrics.llm import token_shards
 from splitmetrics.llm.tokens import token_ids
 
 
+@settings(deadline=None)
 @given(st.integers(1, 3000), st.integers(0, 2**64))
 def test_permutation(size, key):
     permute = token_shards.Permutation(size, key)
@@ -79,3 +80,26 @@ def test_end_id_and_wide_ids(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     manifest = token_shards.write_shards(documents(spark, []).limit(0), str(tmp_path))
     assert manifest.collect() == []
+
+
+def test_every_row_has_a_number_of_its_own(spark, tmp_path):
+    """Whatever the frame is made of: a scan, a generator over one, a union, a join, rows in memory."""
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "documents")
+    documents(spark, [f"text {k}" for k in range(50)], partitions=4).write.parquet(path)
+    docs = spark.read.parquet(path)
+    frames = {
+        "scan": (docs, 50),
+        "filtered": (docs.where("doc_id % 3 = 0").select("text", "doc_id"), 17),
+        "exploded": (docs.select("doc_id", F.explode(F.array("text", "text")).alias("text")), 100),
+        "united": (docs.union(docs), 100),
+        "joined": (docs.join(docs.select(F.col("doc_id").alias("other")), F.expr("doc_id % 10 = other % 10")), 250),
+        "memory": (documents(spark, ["a", "b"]), 2),
+        "nothing": (docs.where("doc_id < 0"), 0),
+    }
+    for name, (frame, rows) in frames.items():
+        numbered, past = token_shards._numbered(frame)
+        numbers = [r["number"] for r in numbered.collect()]
+        assert len(set(numbers)) == len(numbers) == rows, name
+        assert all(0 <= n < past for n in numbers), name
