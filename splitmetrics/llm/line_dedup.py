@@ -190,10 +190,9 @@ def _runs(size: int, min_lines: int, min_words: int) -> Column:
         left, lambda p: F.filter(F.sequence(F.greatest(p - (size - 1), F.lit(0)), p), lambda k: k <= last)
     )
     starts = F.when(F.col("gone").isNull(), everywhere).otherwise(F.array_distinct(F.flatten(around)))
-    windows = F.transform(starts, lambda k: F.slice(lines, k + 1, size))
     if size < min_lines:
-        windows = F.filter(windows, lambda run: F.exists(run, lambda x: x["words"] >= min_words))
-    return F.transform(windows, lambda run: F.xxhash64(F.lit(size), F.transform(run, lambda x: x["hash"])))
+        starts = F.filter(starts, lambda k: F.greatest(F.lit(0), *[F.get(lines, k + n)["words"] for n in range(size)]) >= min_words)
+    return F.transform(starts, lambda k: F.xxhash64(F.lit(size), *[F.get(lines, k + n)["hash"] for n in range(size)]))
 
 
 def _kept_runs(sequences: DataFrame, min_lines: int, min_words: int) -> DataFrame:
@@ -283,21 +282,26 @@ def deleted_lines(
     leading = classed.where("leads").select("me", "lines")
     places = _aligned_places(leading, rare, min_words, min_lines)
 
-    numbers = F.transform("lines", lambda x: x["line"])
     partly = leading.join(places, "me").select(
-        "me.doc_id", "me.tag", F.array_sort(F.transform("gone", lambda k: F.get(numbers, k))).alias("gone")
+        "me.doc_id", "me.tag", F.array_sort(F.transform("gone", lambda k: F.get("lines", k)["line"])).alias("gone")
     )
     # All of a class but its first is the aligned block of its whole text, by the same rule.
     wholly = classed.where(~F.col("leads")).where(
         (F.size("lines") >= min_lines) | F.exists("lines", lambda x: x["words"] >= min_words)
     )
-    return stage(partly.union(wholly.select("me.doc_id", "me.tag", numbers.alias("gone"))), "deleted_lines")
+    return stage(partly.union(wholly.select("me.doc_id", "me.tag", F.transform("lines", lambda x: x["line"]).alias("gone"))), "deleted_lines")
 
 
 def _without(text, gone):
     """The text without its lines of these numbers; lines are as "\\n" splits them."""
-    kept = F.filter(F.split(text, "\n"), lambda line, k: ~F.array_contains(gone, k.cast("int")))
-    return F.when(F.size(gone) > 0, F.array_join(kept, "\n")).otherwise(text)
+
+    def rest(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(kept, lambda k: F.get(lines, k)), "\n")
+
+    # The lines are bound to a variable, so that the text is split once.
+    cut = F.get(F.transform(F.array(F.split(text, "\n")), rest), 0)
+    return F.when(F.size(gone) > 0, cut).otherwise(text)
 
 
 def drop_repeated_lines(
