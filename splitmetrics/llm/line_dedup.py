@@ -226,9 +226,10 @@ def _gone(pairs: DataFrame, leading: DataFrame, min_lines: int, min_words: int)
     """me and the places of the lines that align with any partner."""
     whole = F.transform("lines", lambda x: F.struct(x["hash"], x["check"]))
     long_line = F.transform("lines", lambda x: x["words"] >= min_words)
-    side = leading.select("me", whole.alias("lines"), long_line.alias("long"))
+    # Sorted and merged at every size, as lines never fit a broadcast where it matters.
+    side = leading.select("me", whole.alias("lines"), long_line.alias("long")).hint("merge")
     other = side.select(F.col("me").alias("first"), F.col("lines").alias("earlier"))
-    both = pairs.join(side, "me").join(other, "first").select("me.*", "lines", "long", "earlier")
+    both = pairs.join(side, "me").join(other.hint("merge"), "first").select("me.*", "lines", "long", "earlier")
 
     def align(rows: Iterator[tuple]) -> Iterator[tuple]:
         for no_id, doc_id, tag_, lines, long, earlier in rows:
@@ -251,7 +252,8 @@ def _aligned_places(leading: DataFrame, rare: int, min_words: int, min_lines: in
     while True:
         # Runs that documents kept though an earlier one has them; their first holder has had its turn.
         waiting = open_.where("me != first").select("key", "me")
-        docs = leading.join(waiting.select("me").distinct(), "me", "left_semi").join(gone, "me", "left")
+        docs = leading.join(waiting.select("me").distinct().hint("merge"), "me", "left_semi")
+        docs = docs.join(gone.hint("merge"), "me", "left")
         kept = stage(_kept_runs(docs, min_lines, min_words), "kept_runs")
         open_ = _with_first(waiting.join(kept, ["key", "me"], "left_semi"), "first_kept").select("key", "me", "first")
         open_ = stage(open_, "shared_runs")
@@ -282,7 +284,7 @@ def deleted_lines(
     leading = classed.where("leads").select("me", "lines")
     places = _aligned_places(leading, rare, min_words, min_lines)
 
-    partly = leading.join(places, "me").select(
+    partly = leading.join(places.hint("merge"), "me").select(
         "me.doc_id", "me.tag", F.array_sort(F.transform("gone", lambda k: F.get("lines", k)["line"])).alias("gone")
     )
     # All of a class but its first is the aligned block of its whole text, by the same rule.
@@ -313,7 +315,7 @@ def drop_repeated_lines(
     text. Equal rows are one document and keep the same lines. The first of equal documents by doc_id (nulls
     last), then by the text's checksum, keeps everything.
     """
-    found = with_rows(documents, deleted_lines(documents, rare, min_words, min_lines), "left")
+    found = with_rows(documents, deleted_lines(documents, rare, min_words, min_lines).hint("merge"), "left")
     gone = F.coalesce("gone", F.array().cast("array<int>"))
     return found.select("row", gone.alias("gone")).select(
         "row", "gone", _without(F.col("row.text"), F.col("gone")).alias("cleaned")
