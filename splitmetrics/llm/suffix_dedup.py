@@ -1,20 +1,25 @@
 """Repeated passages, found with a sparse suffix array.
 
 A passage of ``length`` words is repeated if the same words stand earlier, in a document of a smaller
-doc_id or earlier in the same one. Every position of a text starts a suffix; only those at minimisers are retained: the k-word gram with the
+doc_id or earlier in the same one (null ids come last; of documents with equal ids the smaller checksum is the earlier).
+Every position of a text starts a suffix; only those at minimisers are retained: the k-word gram with the
 smallest hash among w in a row, where k + w - 1 = ``length``. What is chosen depends on the words
-alone, so two copies of a passage retain suffixes at the same places in it, one at least.
-
-The retained suffixes are sorted by their first k words, and neighbours, which agree in these, are
-compared further: by the w - 1 words on either side of the gram. Where all of these agree, all
-passages around the gram are repeated. Where they don't, the match ends nearby, and it is extended left
-and right word by word: for each d, the d words to the left and w - 1 - d to the right, with the gram, are
-one passage of ``length`` words, and the first suffix in sorted order that has the same one is its first
-copy. So the result is exact: a word is in it if and only if a repeated passage covers it.
-
-Sorting, in Spark, is grouping by a key, with the least position first: a passage that very many documents share is reduced
-before the shuffle, and never gathered in one place. Words are runs of other characters than
-``[\\x20\\x09-\\x0D]`` and compared by 64-bit hashes.
+alone, so two copies of a passage retain a suffix at the same place in it, which owns the passage.
+
+1. Sieve: suffixes whose gram stands once can match none and go. Suffixes that agree in the gram and in all w - 1 words on either
+   side are kept once, as the first of them; all passages of the others are repeated. So what very many documents copy is reduced
+   before anything is sorted.
+2. Sort: the rest, cut to the words that their passages need, are sorted by their words, in ranges that may cut anywhere, also within
+   the suffixes of one gram. In sorted order the longest match of a suffix to the right is with a
+   neighbour, so the words shared with the two neighbours bound it. At the ends of a range one neighbour is not seen, and the bound
+   is taken as ``length``.
+3. Extend: from the gram, each match is extended to the left word by word, and to the right as far as the neighbours
+   allow: for each d, the d words to the left and length - d to the right are a passage, if the neighbours share as many.
+   Its words' 128-bit digest tells whether another suffix has the same one.
+
+So a word is in the result if and only if a repeated passage covers it. Words are runs of other characters than
+``[\\x20\\x09-\\x0D]``. Neighbours are compared by their words, passages by 128 bits, and the whole
+surroundings of the first step by two 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -91,12 +96,13 @@ def word_hashes(text: str | None, known: dict[bytes, int]) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def suffixes(words: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, Grams]:
-    """The words at which the retained suffixes of a text start."""
+def suffixes(words: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Grams]:
+    """The words at which the retained suffixes start, and where the first and last passage of each do."""
     grams = Grams(words)
     if len(words) < gram + window - 1:
-        return np.zeros(0, np.int64), grams
-    return np.unique(_window_least(grams.of(gram), window)), grams
+        return (*np.zeros((3, 0), np.int64), grams)
+    at, low, count = np.unique(_window_least(grams.of(gram), window), return_index=True, return_counts=True)
+    return at, low, low + count - 1, grams
 
 
 def _context(words: np.ndarray, grams: Grams, at: np.ndarray, gram: int, side: int) -> np.ndarray:
@@ -121,28 +127,29 @@ def _signed(values: np.ndarray) -> list[int]:
 
 
 def retained(documents: DataFrame, gram: int, window: int) -> DataFrame:
-    """The retained suffixes: doc_id, tag, at (a word's number), gram and context (hashes)."""
+    """The retained suffixes: doc_id, tag, at, low, high (words' numbers), gram and context (hashes).
+
+    ``low`` and ``high`` are where the first and the last passage start that the suffix owns.
+    """
 
     def find(rows: Iterator[tuple]) -> Iterator[tuple]:
         known = _Hashes()
         for doc_id, tag, text in rows:
             words = word_hashes(text, known)
-            at, grams = suffixes(words, gram, window)
+            at, low, high, grams = suffixes(words, gram, window)
             if len(at):
                 first = _signed(grams.of(gram)[at])
                 around = _signed(_context(words, grams, at, gram, window - 1))
-                for place, g, c in zip(at.tolist(), first, around, strict=True):
-                    yield doc_id, tag, place, g, c
+                places = zip(at.tolist(), low.tolist(), high.tolist(), strict=True)
+                for place, g, c in zip(places, first, around, strict=True):
+                    yield doc_id, tag, *place, g, c
 
-    schema = "doc_id long, tag long, at int, gram long, context long"
+    schema = "doc_id long, tag long, at int, low int, high int, gram long, context long"
     return map_rows(identified(documents), find, schema)
 
 
-_ME = "struct(doc_id is null as no_id, doc_id, tag, at)"
-
-
-def _first():
-    return F.min(F.expr(_ME)).alias("first")
+_ME = "struct(doc_id is null as no_id, doc_id, tag, at, low, high)"
+_PASSAGE = "struct(doc_id is null as no_id, doc_id, tag, start)"
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -155,41 +162,85 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _examined(documents: DataFrame, listed: DataFrame, length: int, gram: int) -> DataFrame:
-    """doc_id, tag, spans of copies, and the passages around the other listed suffixes."""
-    side = length - gram
+def _written(documents: DataFrame, listed: DataFrame, length: int) -> DataFrame:
+    """The listed suffixes with their words: doc_id, tag, at, low, high, before and suffix.
 
-    def examine(rows: Iterator[tuple]) -> Iterator[tuple]:
-        known = _Hashes()
-        for doc_id, tag, text, shared in rows:
-            words = word_hashes(text, known)
-            total, spans, starts = len(words), [], set()
-            for place in shared:
-                at = place["at"]
-                most = min(side, at)
-                least = max(0, side - (total - at - gram))
-                if place["copy"]:
-                    spans.append((at - most, at - least + length))
-                else:
-                    starts.update(range(at - most, at - least + 1))
-            passages = []
-            if starts:
-                order = np.array(sorted(starts))
-                passages = zip(_signed(Grams(words).of(length)[order]), order.tolist(), strict=True)
-            yield (
-                doc_id,
-                tag,
-                [{"start": a, "end": b} for a, b in _merged(spans)],
-                [{"passage": h, "at": a} for h, a in passages],
-            )
-
-    found = identified(documents).alias("l").join(listed.alias("r"), same_document("l", "r"))
-    return map_rows(
-        found.select("l.doc_id", "l.tag", "l.text", "r.shared"),
-        examine,
-        "doc_id long, tag long, spans array<struct<start:int,end:int>>, "
-        "passages array<struct<passage:long,at:int>>",
-    )
+    ``suffix`` has the words from ``at`` to the end of the last passage, each followed by a space, and
+    ``before`` those from ``low`` to ``at``.
+    """
+
+    def write(rows: Iterator[tuple]) -> Iterator[tuple]:
+        last = None
+        for doc_id, tag, text, places in rows:
+            if (doc_id, tag) == last:  # a repeated row
+                continue
+            last = doc_id, tag
+            words = _WORD.findall(text)
+            for place in places:
+                at, low, high = place["at"], place["low"], place["high"]
+                before, suffix = words[low:at], words[at : high + length]
+                yield doc_id, tag, at, low, high, _joined(before), _joined(suffix)
+
+    found = identified(documents).alias("l").join(listed.hint("merge").alias("r"), same_document("l", "r"))
+    schema = "doc_id long, tag long, at int, low int, high int, before string, suffix string"
+    return map_rows(found.select("l.doc_id", "l.tag", "l.text", "r.places"), write, schema)
+
+
+def _joined(words: list[str]) -> str:
+    return "".join([f"{word} " for word in words])
+
+
+def shared_words(left: str, right: str) -> int:
+    """How many words two suffixes have in common at their beginning."""
+    count = 0
+    for a, b in zip(left.split(" ")[:-1], right.split(" ")[:-1], strict=False):
+        if a != b:
+            break
+        count += 1
+    return count
+
+
+def neighbours(rows: Iterator[tuple], length: int) -> Iterator[tuple[tuple, int]]:
+    """Each suffix of a sorted range and the words that it shares with a neighbour, at most ``length``.
+
+    Rows are (doc_id, tag, at, ..., suffix). The first and the last have a neighbour that is not seen,
+    and so have ``length``. A suffix that is listed twice counts once.
+    """
+    held, shared = None, length
+    for row in rows:
+        if held is not None:
+            if held[:3] == row[:3]:
+                continue
+            now = min(length, shared_words(held[-1], row[-1]))
+            yield held, max(shared, now)
+            shared = now
+        held = row
+    if held is not None:
+        yield held, length
+
+
+def passages(row: tuple, reach: int, length: int) -> Iterator[tuple[int, bytes]]:
+    """The start and digest of each passage that a suffix owns and whose right part has at most ``reach`` words."""
+    at, low, high, before, suffix = row
+    text = (before + suffix).encode("utf-8")
+    ends = np.flatnonzero(np.frombuffer(text, np.uint8) == 0x20) + 1
+    ends = [0, *ends.tolist()]
+    for start in range(low, min(high, at - length + reach) + 1):
+        part = text[ends[start - low] : ends[start - low + length]]
+        yield start, xxhash.xxh3_128_digest(part)
+
+
+def _extended(written: DataFrame, length: int) -> DataFrame:
+    """doc_id, tag, start and passage (a digest), after sorting the suffixes and comparing neighbours."""
+    order = ("suffix", "doc_id", "tag", "at")
+    ranged = written.repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def extend(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for (doc_id, tag, *row), reach in neighbours(rows, length):
+            for start, digest in passages(tuple(row), reach, length):
+                yield doc_id, tag, start, digest
+
+    return map_rows(ranged, extend, "doc_id long, tag long, start int, passage binary")
 
 
 def repeated_passages(documents: DataFrame, length: int = 50, gram: int = 15) -> DataFrame:
@@ -204,31 +255,29 @@ def repeated_passages(documents: DataFrame, length: int = 50, gram: int = 15) ->
     # splits a gram that very many documents share only in a join of two tables.
     again = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     found = stage(every.join(stage(again, "grams"), "gram", "left_semi"), "repeated_suffixes")
-    classes = stage(found.groupBy("gram", "context").agg(_first()), "suffix_classes")
+    first = F.min(F.expr(_ME)).alias("first")
+    classes = stage(found.groupBy("gram", "context").agg(first), "suffix_classes")
     several = classes.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
     mixed = stage(several.select("gram"), "mixed_grams")
-    heads = classes.join(mixed, "gram").select("first.doc_id", "first.tag", "first.at")
     copies = (
         found.join(classes, ["gram", "context"])
         .where(F.expr(_ME) != F.col("first"))
-        .select("doc_id", "tag", "at")
+        .select("doc_id", "tag", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
     )
-    listed = (
-        copies.withColumn("copy", F.lit(True))
-        .union(heads.withColumn("copy", F.lit(False)))
-        .groupBy("doc_id", "tag")
-        .agg(F.collect_set(F.struct("at", "copy")).alias("shared"))
+    heads = classes.join(mixed, "gram").select("first.*")
+    listed = heads.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("at", "low", "high")).alias("places"))
+    written = stage(_written(documents, stage(listed, "listed_suffixes"), length), "written_suffixes")
+    every_passage = stage(_extended(written, length), "passages")
+    first = every_passage.groupBy("passage").agg(
+        F.min(F.expr(_PASSAGE)).alias("first"), F.count("*").alias("n")
     )
-    examined = stage(_examined(documents, listed, length, gram).distinct(), "examined")
-    passages = examined.select("doc_id", "tag", F.inline("passages"))
-    first = passages.groupBy("passage").agg(_first(), F.count("*").alias("n")).where("n > 1")
-    first = stage(first, "first_passages")
+    first = stage(first.where("n > 1").select("passage", "first"), "first_passages")
     later = (
-        passages.join(first, "passage")
-        .where(F.expr(_ME) != F.col("first"))
-        .select("doc_id", "tag", F.col("at").alias("start"), (F.col("at") + length).alias("end"))
+        every_passage.join(first, "passage")
+        .where(F.expr(_PASSAGE) != F.col("first"))
+        .select("doc_id", "tag", "start", (F.col("start") + length).alias("end"))
     )
-    spans = later.union(examined.select("doc_id", "tag", F.inline("spans")))
+    spans = later.union(copies)
     grouped = spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def merge(rows: Iterator[tuple]) -> Iterator[tuple]:
