@@ -8,8 +8,10 @@ finds the repair of least cost, and among those one with the fewest insertions.
 The costs of a run of turns are a matrix, from each state before it to each state after it, and matrices of
 neighbouring runs combine, so a conversation need not be in one task. Turns are sorted by range partitioning, which cuts a very
 long conversation anywhere; each task makes blocks of at most ``BLOCK`` turns. A conversation that lies in one block is repaired
-at once. For the others the matrices alone come together, and say in which state each block begins and ends; then all
-blocks are repaired on their own.
+at once. For the others the matrices alone come together, in levels: at most ``FAN`` neighbours are multiplied into one, until a
+conversation has one matrix. The states before and after that are known, and are walked back down the same levels, to
+say in which state each block begins and ends; then all blocks are repaired on their own. So no task has more than
+``FAN`` matrices of a conversation at once, however long it is.
 
 A turn is rendered as a piece, and a conversation is its pieces in order of ``position``; a piece of an insertion
 has no text of its own.
@@ -18,6 +20,7 @@ has no text of its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import groupby
 
 import pandas as pd
@@ -30,6 +33,8 @@ from splitmetrics.sources.workspace import stage
 
 #: Turns of a block.
 BLOCK = 256
+#: Matrices that are multiplied into one.
+FAN = 256
 
 # The states, each named after the role of the last message, and what may follow.
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -122,30 +127,45 @@ def closing(costs: list[Cost]) -> tuple[Cost, int]:
     )
 
 
-def chain(blocks: list[list[list[Cost]]]) -> tuple[list[tuple[int, int, int, int]], int]:
-    """For each block of a conversation its states before and after, and the cost and insertions so far.
+def _through(reached: list[Cost], rows: list[list[Cost]]) -> list[Cost]:
+    """The costs after a run, from those before it and the run's matrix."""
+    now = [
+        min((before[0] + rows[s][to][0], before[1] + rows[s][to][1]) for s, before in enumerate(reached))
+        for to in STATES
+    ]
+    return [min(c, _NONE) for c in now]
 
-    Also the cost of the whole conversation.
-    """
-    reached = [_from(START)]
+
+def product(blocks: list[list[list[Cost]]]) -> list[list[Cost]]:
+    """The matrix of neighbouring runs."""
+    return reduce(lambda rows, block: [_through(row, block) for row in rows], blocks)
+
+
+def walk(blocks: list[list[list[Cost]]], entry: int, end: int) -> list[tuple[int, int, int]]:
+    """For each of neighbouring runs its states before and after on a cheapest way, and the insertions before it."""
+    reached = [_from(entry)]
     for rows in blocks:
-        now = [
-            min((before[0] + rows[s][to][0], before[1] + rows[s][to][1]) for s, before in enumerate(reached[-1]))
-            for to in STATES
-        ]
-        reached.append([min(c, _NONE) for c in now])
-    total, state = closing(reached[-1])
-    out = []
+        reached.append(_through(reached[-1], rows))
+    out, state = [], end
     for k in range(len(blocks) - 1, -1, -1):
         goal = reached[k + 1][state]
-        entry = next(
+        before = next(
             s
-            for s, before in enumerate(reached[k])
-            if (before[0] + blocks[k][s][state][0], before[1] + blocks[k][s][state][1]) == goal
+            for s, cost in enumerate(reached[k])
+            if (cost[0] + blocks[k][s][state][0], cost[1] + blocks[k][s][state][1]) == goal
         )
-        out.append((entry, state, reached[k][entry][1]))
-        state = entry
-    return [(*x,) for x in reversed(out)], total[0]
+        out.append((before, state, reached[k][before][1]))
+        state = before
+    return out[::-1]
+
+
+def chain(blocks: list[list[list[Cost]]]) -> tuple[list[tuple[int, int, int]], int]:
+    """For each block of a whole conversation its states before and after, and the insertions before it.
+
+    Also the cost of the conversation.
+    """
+    total, state = closing(product(blocks)[START])
+    return walk(blocks, START, state), total[0]
 
 
 def repair(roles: list[str | None], entry: int, end: int) -> list[tuple[str, tuple[int, ...], int]]:
@@ -218,23 +238,72 @@ def _block(conv_id, part: int, block: int, turns: list[dict], alone: bool) -> tu
     return conv_id, part, block, turns, alone, None if alone else _flat(turns)
 
 
-def _chained(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values(["part", "block"])
+def _matrix(flat) -> list[list[Cost]]:
     size = len(STATES)
-    matrices = [
-        [[(int(c[2 * (size * a + b)]), int(c[2 * (size * a + b) + 1])) for b in range(size)] for a in range(size)]
-        for c in group["costs"]
-    ]
-    places, _ = chain(matrices)
+    pairs = [(int(flat[k]), int(flat[k + 1])) for k in range(0, 2 * size * size, 2)]
+    return [pairs[size * a : size * (a + 1)] for a in range(size)]
+
+
+_NODE = "conv_id long, part int, block int, turns long, costs array<long>"
+_PLACE = "conv_id long, part int, block int, entry int, exit int, position long, last boolean"
+_PARENT = ["conv_id", "up_part", "up_block"]
+
+
+def _multiplied(group: pd.DataFrame) -> pd.DataFrame:
+    """The node above a few neighbouring ones."""
+    group = group.sort_values(["part", "block"])
+    rows = product([_matrix(flat) for flat in group["costs"]])
+    out = group[_PARENT].head(1).set_axis(["conv_id", "part", "block"], axis=1)
+    out["conv_id"] = out["conv_id"].astype("Int64")
+    out["turns"] = group["turns"].sum()
+    out["costs"] = [[number for row in rows for cost in row for number in cost]]
+    return out
+
+
+def _walked(group: pd.DataFrame) -> pd.DataFrame:
+    """The places of neighbouring nodes, from that of the node above them."""
+    group = group.sort_values(["part", "block"])
+    above = group.iloc[0]
+    places = walk([_matrix(flat) for flat in group["costs"]], int(above["entry"]), int(above["exit"]))
     group["entry"] = [p[0] for p in places]
     group["exit"] = [p[1] for p in places]
     # A piece for each turn and insertion before.
-    group["position"] = group["turns"].cumsum() - group["turns"] + [p[2] for p in places]
-    group["last"] = [False] * (len(group) - 1) + [True]
+    group["position"] += group["turns"].cumsum() - group["turns"] + [p[2] for p in places]
+    group["last"] &= [False] * (len(group) - 1) + [True]
     group["conv_id"] = group["conv_id"].astype("Int64")
     return group[["conv_id", "part", "block", "entry", "exit", "position", "last"]]
 
 
+def _top(rows: Iterator[tuple]) -> Iterator[tuple]:
+    for conv_id, part, block, _, costs in rows:
+        ((entry, end, _),), _ = chain([_matrix(costs)])
+        yield conv_id, part, block, entry, end, 0, True
+
+
+def _places(nodes: DataFrame) -> DataFrame:
+    """The states before and after each block, its first position, and whether it ends its conversation."""
+    levels, divided = [nodes], []
+    for column, most in nodes.agg(F.max("block").alias("block"), F.max("part").alias("part")).first().asDict().items():
+        left = most or 0
+        while left:  # blocks of a partition first, then partitions
+            left //= FAN
+            other = "part" if column == "block" else "block"
+            up = {f"up_{column}": F.expr(f"int({column} div {FAN})"), f"up_{other}": F.col(other)}
+            divided.append(levels[-1].withColumns(up))
+            levels.append(stage(divided[-1].groupBy(*_PARENT).applyInPandas(_multiplied, _NODE), "turn_levels"))
+    places = map_rows(levels[-1], _top, _PLACE)
+    for children in reversed(divided):
+        found = children.alias("c").join(
+            places.alias("p"),
+            F.col("c.conv_id").eqNullSafe(F.col("p.conv_id"))
+            & (F.col("c.up_part") == F.col("p.part"))
+            & (F.col("c.up_block") == F.col("p.block")),
+        )
+        found = found.select("c.*", "p.entry", "p.exit", "p.position", "p.last")
+        places = found.groupBy(*_PARENT).applyInPandas(_walked, _PLACE)
+    return places
+
+
 def _pieces(rows: Iterator[tuple]) -> Iterator[tuple]:
     for conv_id, turns, entry, end, position, last in rows:
         roles = [_known(t["role"]) for t in turns]
@@ -269,9 +338,8 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     """
     importable(conversations.sparkSession)
     blocks = stage(_blocks(conversations), "turn_blocks")
-    parts = blocks.where("not alone").select("conv_id", "part", "block", F.size("turns").alias("turns"), "costs")
-    schema = "conv_id long, part int, block int, entry int, exit int, position long, last boolean"
-    places = parts.groupBy("conv_id").applyInPandas(_chained, schema)
+    turns = F.size("turns").cast("long").alias("turns")
+    places = _places(blocks.where("not alone").select("conv_id", "part", "block", turns, "costs"))
     rest = blocks.where("not alone").alias("b").join(
         places.alias("p"),
         F.col("b.conv_id").eqNullSafe(F.col("p.conv_id"))

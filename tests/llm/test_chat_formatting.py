@@ -119,9 +119,26 @@ def test_rendering(spark):
     assert found[None] == "<|user|>\nm<|end|>\n<|assistant|>\nn<|end|>\n"
 
 
-@pytest.mark.parametrize("block", [256, 3])
-def test_a_hot_conversation_is_cut_and_stays_whole(spark, monkeypatch, block):
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ROLES), min_size=1, max_size=4), min_size=1, max_size=12), st.integers(2, 5))
+def test_levels_say_what_one_chain_says(parts, fan):
+    blocks = [chat.block_costs(p) for p in parts]
+    _, total = chat.chain(blocks)
+    runs = [blocks[k : k + fan] for k in range(0, len(blocks), fan)]
+    above, cost = chat.chain([chat.product(r) for r in runs])
+    assert cost == total
+    places = [p for run, (entry, end, _) in zip(runs, above) for p in chat.walk(run, entry, end)]
+    reached = (0, 0)
+    for block, (entry, end, _) in zip(blocks, places):
+        reached = (reached[0] + block[entry][end][0], reached[1] + block[entry][end][1])
+    assert [p[0] for p in places] == [chat.START, *(p[1] for p in places[:-1])]
+    assert reached[0] + chat.INSERT * len(chat.WAYS[places[-1][1], chat.ACCEPTED]) == total
+
+
+@pytest.mark.parametrize(("block", "fan"), [(256, 256), (3, 256), (3, 3)])
+def test_a_hot_conversation_is_cut_and_stays_whole(spark, monkeypatch, block, fan):
     monkeypatch.setattr(chat, "BLOCK", block)
+    monkeypatch.setattr(chat, "FAN", fan)
     draw = random.Random(4)
     rows = [(7, k, draw.choice([*ROLES, "tool"]), f"t{k}") for k in range(500)]
     rows += [(100 + c, k, draw.choice(ROLES), f"c{c} {k}") for c in range(60) for k in range(draw.randint(1, 9))]
