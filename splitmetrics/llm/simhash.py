@@ -6,16 +6,17 @@ l segments, for every l, are at most ``l * bits / segments``. For the first two
 less than one bit, so they are equal: each fingerprint goes to one bucket for each start, by two
 segments. Pairs of a bucket must pass the whole chain before the Hamming distance is taken.
 
-A bucket of more than ``pair_limit`` different fingerprints would make too many pairs. There each
-fingerprint is joined to itself and to all that it becomes by changing one bit outside the two
-segments. Two fingerprints differ in at most two bits exactly if they meet in one of these, and all
-that meet in one are linked in a star. This is exact and needs no pairs; it is used for ``bits`` = 2
-only, as other distances do not meet in the middle like this, and are compared in pairs.
+A bucket of more than ``pair_limit`` different fingerprints would make too many pairs. Its members agree in the
+bits of the bucket, so they differ in at most ``bits`` of the other bits: these are cut into a ring of as many
+segments again, and the members go to new buckets by two of them, until buckets are small. Each ring is a pigeonring
+of its own, so no pair is lost, at any distance. A bucket with at most ``2 * bits`` bits left
+has no more than ``4 ** bits`` members, whatever the data, and is compared as it is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import xxhash
@@ -66,73 +67,72 @@ def fingerprints(documents: DataFrame, words: int = 3) -> DataFrame:
     return map_rows(identified(documents), compute, "doc_id long, tag long, fp long")
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << _WIDTH) if mask >> 63 else mask
+
+
 def ring(bits: int) -> list[int]:
     """The masks of the segments, as signed 64-bit integers."""
     segments = 2 * bits + 1
     cuts = [_WIDTH * k // segments for k in range(segments + 1)]
-    masks = [(1 << high) - (1 << low) for low, high in zip(cuts, cuts[1:], strict=False)]
-    return [m - (1 << _WIDTH) if m >> 63 else m for m in masks]
+    return [_signed((1 << high) - (1 << low)) for low, high in zip(cuts, cuts[1:], strict=False)]
+
+
+def _ring_of(fixed: str, bits: int) -> Column:
+    """The masks of the segments into which the bits outside ``fixed`` are cut, as ``ring`` cuts all bits."""
+    segments = 2 * bits + 1
+    free = f"filter(sequence(0, {_WIDTH - 1}), i -> getbit(~{fixed}, i) = 1)"
+    part = f"slice(free, cast(size(free) * k div {segments} as int) + 1, cast(size(free) * (k + 1) div {segments} - size(free) * k div {segments} as int))"
+    mask = f"aggregate({part}, 0L, (m, i) -> m | shiftleft(1L, i))"
+    return F.expr(f"transform(array({free}), free -> transform(sequence(0, {segments - 1}), k -> {mask}))[0]")
+
+
+def _dealt(members: DataFrame, masks: Column, segments: int) -> DataFrame:
+    """fp, fixed and, for every start, the ``key`` of the bucket and the bits ``within`` that it fixes."""
+    two = F.transform(
+        F.sequence(F.lit(0), F.lit(segments - 1)),
+        lambda k: F.get("masks", k).bitwiseOR(F.get("masks", (k + 1) % segments)).bitwiseOR(F.col("fixed")),
+    )
+    placed = members.withColumn("masks", masks).select("fp", "fixed", F.posexplode(two).alias("start", "within"))
+    return placed.withColumn("key", F.col("fp").bitwiseAND(F.col("within")))
 
 
-def _differences(mask: int) -> Column:
-    return F.bit_count(F.col("x").bitwiseXOR(F.col("y")).bitwiseAND(F.lit(mask)))
+def _differences(mask: Column | int) -> Column:
+    return F.bit_count(F.col("x").bitwiseXOR(F.col("y")).bitwiseAND(mask))
 
 
-def _chain(masks: list[int], start: int, bits: int) -> Column:
+def _chained(masks: Column, bits: int) -> Column:
     """The chain from ``start`` keeps the budget of each of its lengths."""
+    segments = 2 * bits + 1
     total, passed = F.lit(0), F.lit(True)
-    for length in range(1, len(masks) + 1):
-        total = total + _differences(masks[(start + length - 1) % len(masks)])
-        passed = passed & (total <= length * bits // len(masks))
+    for length in range(segments):
+        total = total + _differences(F.get(masks, (F.col("start") + length) % segments))
+        passed = passed & (total <= (length + 1) * bits // segments)
     return passed
 
 
 def links(distinct: DataFrame, bits: int = 2, pair_limit: int = 64) -> DataFrame:
-    """Edges ``a, b`` that connect what ``fp`` of ``distinct`` differs in at most ``bits`` bits.
-
-    Their connected components are those of all linked pairs; pairs within a full bucket
-    are linked through one member instead of one by one.
-    """
-    masks = ring(bits)
-    after = masks[1:] + masks[:1]
-    keys = F.array(
-        *[
-            F.struct(F.lit(k).alias("start"), F.col("fp").bitwiseAND(F.lit(a | b)).alias("key"))
-            for k, (a, b) in enumerate(zip(masks, after, strict=True))
-        ]
-    )
-    members = distinct.select("fp", F.explode(keys).alias("bucket")).select("fp", "bucket.*")
-    # Staged, as Spark splits a bucket with very many members only in a join of two tables.
-    sizes = members.groupBy("start", "key").agg(F.count("*").alias("size")).where("size > 1")
-    sizes = stage(sizes, "bucket_sizes")
-    shared = stage(members.join(sizes, ["start", "key"]), "buckets")
-
-    small = shared if bits != 2 else shared.where(F.col("size") <= pair_limit)
-    pairs = small.withColumnRenamed("fp", "x").join(
-        small.select("start", "key", F.col("fp").alias("y")), ["start", "key"]
-    )
-    chained = F.lit(False)
-    for start in range(len(masks)):
-        chained = chained | ((F.col("start") == start) & _chain(masks, start, bits))
-    near = pairs.where("x < y").where(chained).where(_differences(-1) <= bits)
-    edges = near.selectExpr("x as a", "y as b")
-    if bits == 2:
-        edges = edges.union(_stars(shared.where(F.col("size") > pair_limit), masks, after))
-    return edges.distinct()
-
-
-def _stars(crowded: DataFrame, masks: list[int], after: list[int]) -> DataFrame:
-    free = F.array(*[F.lit(~(a | b)) for a, b in zip(masks, after, strict=True)])
-    members = crowded.groupBy("fp").agg(F.bit_or(F.get(free, F.col("start"))).alias("free"))
-    single = [1 << k for k in range(63)] + [-(1 << 63)]
-    reached = F.expr(
-        "transform(filter(flips, m -> (m & free) != 0), m -> fp ^ m)"
-    )
-    met = members.withColumn("flips", F.array(*[F.lit(m) for m in single])).select(
-        "fp", F.explode(F.concat(F.array("fp"), reached)).alias("met")
-    )
-    first = met.groupBy("met").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
-    return met.join(first, "met").where("fp != b").select(F.col("fp").alias("a"), "b").distinct()
+    """Edges ``a, b`` between what ``fp`` of ``distinct`` differs in at most ``bits`` bits; every such pair, once."""
+    segments, bucket = 2 * bits + 1, ["fixed", "start", "key"]
+    members = distinct.select("fp", F.lit(0).cast("long").alias("fixed"))
+    masks, found = F.array(*map(F.lit, ring(bits))), []
+    while True:
+        dealt = _dealt(members, masks, segments)
+        # Staged, as Spark splits a bucket with very many members only in a join of two tables.
+        sizes = stage(dealt.groupBy(*bucket).agg(F.count("*").alias("size")).where("size > 1"), "bucket_sizes")
+        shared = stage(dealt.join(sizes, bucket), "buckets")
+        crowded = (F.col("size") > pair_limit) & (F.bit_count(F.bitwise_not("within")) > 2 * bits)
+        small = shared.where(~crowded)
+        pairs = small.withColumnRenamed("fp", "x").join(
+            small.select(*bucket, F.col("fp").alias("y")), bucket
+        )
+        near = pairs.where("x < y").where(_chained(masks, bits)).where(_differences(F.lit(-1)) <= bits)
+        found.append(near.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        # Different ways may lead to the same bits; what is split on is then the same as well.
+        members = shared.where(crowded).select("fp", F.col("within").alias("fixed")).distinct()
+        if members.isEmpty():
+            return reduce(DataFrame.union, found).distinct()
+        masks = _ring_of("fixed", bits)
 
 
 def components(prints: DataFrame, bits: int = 2, pair_limit: int = 64) -> DataFrame:

@@ -51,7 +51,7 @@ def test_ring_covers_all_bits():
         assert len(masks) == 2 * bits + 1 and sum(masks) == 2**64 - 1
 
 
-@pytest.mark.parametrize(("bits", "pair_limit"), [(2, 64), (2, 1), (2, 3), (1, 64), (3, 2)])
+@pytest.mark.parametrize(("bits", "pair_limit"), [(2, 64), (2, 3), (1, 64), (3, 8)])
 def test_components_of_fingerprints(spark, bits, pair_limit):
     draw = random.Random(bits)
     prints = {draw.getrandbits(64) for _ in range(300)}
@@ -67,6 +67,39 @@ def test_components_of_fingerprints(spark, bits, pair_limit):
     assert found == {x: min(ids[y] for y in group) for x, group in brute_components(prints, bits).items()}
 
 
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def test_rings_of_the_bits_that_are_left(spark):
+    draw = random.Random(4)
+    for bits in (1, 2, 3):
+        fixed = [0, 1, 2**63, 2**40 - 1, draw.getrandbits(64), 2**64 - 2 ** (2 * bits + 1)]
+        frame = spark.createDataFrame([(signed(x),) for x in fixed], "fixed long")
+        for x, row in zip(fixed, frame.select(simhash._ring_of("fixed", bits).alias("r")).collect(), strict=True):
+            masks = [m & (2**64 - 1) for m in row["r"]]
+            assert len(masks) == 2 * bits + 1 and sum(masks) == x ^ (2**64 - 1)
+            sizes = [m.bit_count() for m in masks]
+            assert min(sizes) >= 1 and max(sizes) - min(sizes) <= 1
+            if x == 0:
+                assert row["r"] == simhash.ring(bits)
+
+
+@pytest.mark.parametrize(("bits", "pair_limit"), [(2, 8), (1, 4)])
+def test_every_link_of_a_crowded_bucket_once(spark, bits, pair_limit):
+    """Near a centre, and all values of the lowest bits, so that buckets stay full for several levels."""
+    draw = random.Random(9)
+    centre = draw.getrandbits(64)
+    prints = {centre ^ (1 << k) for k in range(64)} | {centre ^ x for x in range(128)}
+    prints |= {centre ^ (1 << draw.randrange(64)) ^ (1 << draw.randrange(64)) for _ in range(150)}
+    frame = spark.createDataFrame([(signed(x),) for x in prints], "fp long")
+    found = [(r["a"], r["b"]) for r in simhash.links(frame, bits, pair_limit).collect()]
+    values = sorted(map(signed, prints))
+    apart = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count()
+    wanted = {(a, b) for k, a in enumerate(values) for b in values[k + 1 :] if apart(a, b) <= bits}
+    assert len(found) == len(set(found)) and set(found) == wanted
+
+
 def corpus():
     texts = list(TEXTS)
     for seed in range(12):
