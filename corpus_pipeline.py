@@ -62,16 +62,24 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; what the stages before it staged is deleted as soon as nothing reads it."""
+    """The last stage's rows; what the stages before it staged is deleted as soon as nothing reads it.
+
+    If a stage fails, nothing that was staged stays behind.
+    """
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, function in STAGES:
         work, result = Workspace(spark), Workspace(spark)
-        with work.active():
-            found = function(spark, docs, sf_dir)
-        with result.active():
-            docs = stage(found, name)
-        work.close()
-        if before is not None:
-            before.close()
+        try:
+            with work.active():
+                found = function(spark, docs, sf_dir)
+            with result.active():
+                docs = stage(found, name)
+        except BaseException:
+            result.close()
+            raise
+        finally:
+            work.close()
+            if before is not None:
+                before.close()
         before = result
     return docs
