@@ -16,10 +16,9 @@ from pyspark.sql import functions as F
 from splitmetrics.config import ALL_DIMENSIONS, ExperimentConfig
 from splitmetrics.functions.moments import count_true
 from splitmetrics.operators import filters, rollups
+from splitmetrics.operators.lattice import CELL_COLUMNS, IN_ANALYSIS, count_lattice
 from splitmetrics.sources.tables import with_constraint
-from splitmetrics.sources.workspace import stage
-
-CELL_COLUMNS = ("test_name", "test_sub_id", "test_sub_name", "control_test")
+from splitmetrics.sources.workspace import stage, stage_bucketed
 
 
 def traffic(visitors: DataFrame) -> DataFrame:
@@ -43,8 +42,14 @@ class Population:
         orders: DataFrame,
         config: ExperimentConfig,
         traffic_counts: DataFrame | None = None,
+        lattice_counts: DataFrame | None = None,
+        buckets: int | None = None,
     ):
-        """``traffic_counts`` is ``traffic`` of the same visitors, if staged already."""
+        """``traffic_counts`` is ``traffic`` of the constrained visitors, if staged already.
+
+        ``lattice_counts`` is ``count_lattice`` of all visitors with the constraint and the cohort dimensions at
+        least. Where the visitors are bucketed by id, ``buckets`` says how often.
+        """
         self.config = config
         self._eligible = filters.hopper_at_most(config.max_hopper_level) & filters.exposure(
             config.exposed_only
@@ -53,6 +58,8 @@ class Population:
         self.visitors = self._kept.where(self._eligible)
         self.orders = filters.within_days(orders, config.days_to_consider)
         self._traffic_counts = traffic_counts
+        self._lattice_counts = lattice_counts
+        self._buckets = buckets
         #: Filled by ``caps.known_quantiles``.
         self.quantiles: dict | None = None
 
@@ -86,6 +93,14 @@ class Population:
             F.sum("valid_visitors").alias("valid_visitors"),
         )
 
+    @property
+    def counts_by_dimension(self) -> DataFrame:
+        """Eligible visitors by cell and all cohort dimensions, with the alternate control only if compared with."""
+        counted = self._lattice_counts
+        if counted is None:
+            counted = count_lattice(self._kept, self.config.cohort_dimensions)
+        return counted.where(F.col(IN_ANALYSIS) & self._eligible & self.taking_part)
+
     @property
     def last_first_order(self) -> Column:
         """The latest first order of any touch, of ineligible visitors as well."""
@@ -96,13 +111,16 @@ class Population:
         """Order totals of the eligible visitors, with the visitor's attributes, staged.
 
         The profile has a few rows for a visitor at most and is partitioned by visitor already; it is
-        broadcast if it turns out small, so that the visitors are not shuffled.
+        broadcast if it turns out small, so that the visitors are not shuffled. With bucketed visitors it is
+        staged in the same buckets, and the join moves neither side whatever their sizes.
         """
         visitor_columns = dict.fromkeys([*CELL_COLUMNS, "touch_date", *self.dimensions])
         eligible = self.visitors.select("visitor_id", *visitor_columns).withColumn(
             "touch_date", F.to_date("touch_date")
         )
         profile = rollups.order_profile(self.orders)
+        if self._buckets:
+            profile = stage_bucketed(profile, "order_profile", "visitor_id", self._buckets)
         return stage(profile.join(eligible, "visitor_id"), "order_rows")
 
     def ordering(self, grain: str, include_alternate: bool = False) -> DataFrame:

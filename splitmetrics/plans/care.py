@@ -11,6 +11,7 @@ from splitmetrics.functions.moments import count_true
 from splitmetrics.operators import filters
 from splitmetrics.operators.attribution import contacts_after_touch, touch_period
 from splitmetrics.operators.pairing import beside_control
+from splitmetrics.sources.workspace import stage
 
 _CELL = ("test_sub_id", "test_sub_name")
 
@@ -77,16 +78,25 @@ def _identified(visitors: DataFrame, config: ExperimentConfig) -> DataFrame:
     )
 
 
+def _distinct_per_cell(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """The number of different values in each cell, nulls not counted.
+
+    Rows become one per cell and value before they are counted, so that no cell is one task's work.
+    """
+    return rows.select(*_CELL, column).distinct().groupBy(*_CELL).agg(F.count(column).alias(name))
+
+
 def _contact_rate(identified: DataFrame, contacted: DataFrame, config: ExperimentConfig):
-    """``contacted`` has a cell, contacting shopper and contact id per row."""
-    shoppers = identified.groupBy(*_CELL).agg(F.count_distinct("shopper_key").alias("shopper_ct"))
-    contacts = contacted.groupBy(*_CELL).agg(
-        F.count_distinct("contact_shopper").alias("shopper_ct_contacted"),
-        F.count_distinct("contact_id").alias("contact_ct"),
-    )
-    rates = shoppers.join(contacts, list(_CELL), "left").fillna(
-        0, ["shopper_ct_contacted", "contact_ct"]
-    )
+    """``contacted`` has a cell, contacting shopper and contact id per row.
+
+    It is reduced to one row for each of these and staged, so the join behind it is made once; both
+    counts then group its rows by their own key.
+    """
+    shoppers = _distinct_per_cell(identified, "shopper_key", "shopper_ct")
+    links = stage(contacted.select(*_CELL, "contact_shopper", "contact_id").distinct(), "contacts")
+    rates = shoppers
+    for column, name in (("contact_shopper", "shopper_ct_contacted"), ("contact_id", "contact_ct")):
+        rates = rates.join(_distinct_per_cell(links, column, name), list(_CELL), "left").fillna(0, name)
     return _against_control(
         rates, "shopper_ct_contacted", "contact_rate", ("contact_ct",), config
     )

@@ -13,6 +13,7 @@ from splitmetrics.functions.moments import (
     share_and_variance,
 )
 from splitmetrics.operators.caps import capped_ordering
+from splitmetrics.operators.lattice import by_dimension
 from splitmetrics.operators.pairing import every_cell_beside_control
 from splitmetrics.operators.population import Population
 
@@ -33,17 +34,6 @@ COLUMNS = (
 _KEYS = ("cohort", "dimension", "test_sub_id")
 
 
-def by_dimension(rows: DataFrame, names: tuple[str, ...], *kept: str) -> DataFrame:
-    """Each row once per dimension, as (cohort, dimension value); narrow, and not shuffled.
-
-    Meant for rows that are grouped by the dimensions already.
-    """
-    entries = ", ".join(
-        f"named_struct('cohort', '{name}', 'dimension', cast(`{name}` as string))" for name in names
-    )
-    return rows.selectExpr(*kept, f"inline(array({entries}))")
-
-
 def cohort_arms(population: Population) -> DataFrame:
     """Statistics of each cell within each dimension value; a null value is a value too.
 
@@ -53,18 +43,12 @@ def cohort_arms(population: Population) -> DataFrame:
     names = tuple(population.config.cohort_dimensions)
     taking_part = population.taking_part
     # Visitors are counted before they are listed once per dimension.
-    counted = (
-        population.visitors.where(taking_part)
-        .groupBy("test_sub_id", *names)
-        .agg(
-            F.count("*").alias("visitors"),
-            count_true("visitor_id > 0").alias("count"),
-        )
-    )
     visitors = (
-        by_dimension(counted, names, "test_sub_id", "visitors", "count")
+        by_dimension(
+            population.counts_by_dimension, names, "test_sub_id", "visitors", "valid_visitors"
+        )
         .groupBy(*_KEYS)
-        .agg(F.sum("visitors").alias("visitors"), F.sum("count").alias("count"))
+        .agg(F.sum("visitors").alias("visitors"), F.sum("valid_visitors").alias("count"))
     )
     measures = ("test_sub_id", "order_count", "booking_usd", "gm_usd")
     bought = (

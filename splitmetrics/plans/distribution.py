@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from splitmetrics.operators import filters
+from splitmetrics.operators.lattice import by_dimension, count_lattice
 from splitmetrics.operators.numbering import numbered
-from splitmetrics.plans.cohort import by_dimension
 
 # The dimensions reported, the width values are cut to, the label of a
 # missing value, and the share a value needs to be checked for evenness.
@@ -70,11 +70,15 @@ def visitors_by_date(traffic_counts: DataFrame) -> DataFrame:
     )
 
 
-def dimension_counts(visitors: DataFrame) -> DataFrame:
-    """Non-hoppers per cell and dimension value, the alternate control left out."""
-    kept = visitors.where(filters.not_alternate() & (F.col("is_hopper") == 0))
+def dimension_counts(visitors: DataFrame, lattice_counts: DataFrame | None = None) -> DataFrame:
+    """Non-hoppers per cell and dimension value, the alternate control left out.
+
+    ``lattice_counts`` is ``count_lattice`` of the same visitors by these dimensions at least, if staged already.
+    """
+    if lattice_counts is None:
+        lattice_counts = count_lattice(visitors, SHARE_DIMENSIONS)
+    counted = lattice_counts.where(filters.not_alternate() & (F.col("is_hopper") == 0))
     value = F.substring("dimension", 1, VALUE_WIDTH).alias("value")
-    counted = kept.groupBy("test_sub_name", *SHARE_DIMENSIONS).agg(F.count("*").alias("visitors"))
     return (
         by_dimension(counted, SHARE_DIMENSIONS, "test_sub_name", "visitors")
         .groupBy("test_sub_name", F.col("cohort").alias("dimension"), value)

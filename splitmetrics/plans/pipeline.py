@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field, fields, replace
 from time import perf_counter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from splitmetrics import schema
 from splitmetrics.config import EMAIL_TEST, SITE_TEST, ExperimentConfig
 from splitmetrics.operators.attribution import attribute_credits, attribute_orders
+from splitmetrics.operators.lattice import count_lattice
 from splitmetrics.operators.population import Population, traffic
 from splitmetrics.plans import care, distribution, reports, series, sweep
 from splitmetrics.plans.cohort import cohort_summary
 from splitmetrics.plans.summary import summary
 from splitmetrics.sources.results import append_run_history, cutoff_frame, save_frames
 from splitmetrics.sources.tables import RawTableNames, TableNames, read_table, with_constraint
-from splitmetrics.sources.workspace import Workspace, stage
+from splitmetrics.sources.workspace import Workspace, stage, stage_bucketed
 
 
 @dataclass(frozen=True)
@@ -112,16 +113,25 @@ def run(
     config: ExperimentConfig,
     output: str | None = None,
     history: str | None = None,
+    buckets: int | None = None,
 ) -> RunResult:
     """Run every analysis; save results under ``output`` and timings to ``history`` if given.
 
     Each result frame is staged when its stage is done, so that the timings are those of
     the work, and reports, saving and the caller's reads do not repeat it. Nothing is
-    saved in demo mode. Visitors with contradicting labels or repeated ids are refused.
+    saved in demo mode. Visitors with contradicting labels or repeated ids are refused. What a run
+    that fails has staged is deleted.
+
+    With ``buckets`` the visitors are staged once in so many buckets by id, which is one shuffle of them; the joins of
+    attribution, order totals and care rates then leave them where they lie.
     """
     result = RunResult(workspace=Workspace(tables.visitors.sparkSession))
-    with result.workspace.active():
-        _run(tables, config, output, history, result)
+    try:
+        with result.workspace.active():
+            _run(tables, config, output, history, result, buckets)
+    except BaseException:
+        result.close()
+        raise
     return result
 
 
@@ -131,10 +141,14 @@ def _run(
     output: str | None,
     history: str | None,
     result: RunResult,
+    buckets: int | None,
 ) -> None:
     schema.validate(tables.visitors, schema.VISITORS, "visitors")
     schema.check_visitors(tables.visitors)
     clock = _Stopwatch(result.timings)
+    if buckets:
+        placed = stage_bucketed(tables.visitors, "visitors", "visitor_id", buckets)
+        tables = replace(tables, visitors=placed)
 
     def keep(name: str, frame: DataFrame) -> DataFrame:
         result.frames[name] = stage(frame, name)
@@ -163,7 +177,10 @@ def _run(
     own_traffic = (
         stage(traffic(constrained), "own_traffic") if config.visitor_constraint else all_traffic
     )
-    population = Population(tables.visitors, orders, config, traffic_counts=own_traffic)
+    wanted = dict.fromkeys([*distribution.SHARE_DIMENSIONS, *config.cohort_dimensions])
+    known = [name for name in wanted if name in tables.visitors.columns]
+    lattice = stage(count_lattice(tables.visitors, known, config.visitor_constraint), "lattice")
+    population = Population(tables.visitors, orders, config, own_traffic, lattice, buckets)
     population.order_rows  # noqa: B018 - staged here, used by everything below
     clock.lap("datapull")
 
@@ -174,7 +191,9 @@ def _run(
         keep("exposure_share", distribution.exposure_share(all_traffic))
     by_date = keep("visitors_by_date", distribution.visitors_by_date(all_traffic))
     result.reports["visitors_by_date"] = reports.series_report(by_date, "touch_date")
-    by_dimension = stage(distribution.dimension_counts(tables.visitors), "dimension_counts")
+    by_dimension = stage(
+        distribution.dimension_counts(tables.visitors, lattice), "dimension_counts"
+    )
     keep("dimension_share", distribution.dimension_share(by_dimension, all_traffic))
     keep("evenness", distribution.evenness(by_dimension, all_traffic))
     clock.lap("datadist")

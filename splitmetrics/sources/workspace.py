@@ -75,6 +75,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.folder = f"{folder or _session_folder(spark)}/work-{uuid4().hex}"
+        self.tables: list[str] = []
 
     @contextmanager
     def active(self) -> Iterator[Workspace]:
@@ -86,6 +87,8 @@ class Workspace:
             _active.reset(token)
 
     def close(self) -> None:
+        for name in self.tables:
+            self.spark.sql(f"drop table if exists {name}")
         remove(self.spark, self.folder)
 
 
@@ -95,3 +98,19 @@ def stage(frame: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def stage_bucketed(frame: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """As ``stage``, in ``buckets`` files by hash of ``key``.
+
+    Frames staged with as many buckets by the same key are joined on it, or grouped by it, where they lie. A bucket is one
+    task's work from then on, so the key must not be hot. Spark knows buckets from its catalog alone: the
+    files get an entry there, which goes with the workspace.
+    """
+    spark = frame.sparkSession
+    name = f"staged_{label}_{uuid4().hex}"
+    if workspace := _active.get():
+        workspace.tables.append(name)
+    written = frame.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    written.option("path", new_path(spark, label)).saveAsTable(name)
+    return spark.read.table(name)

@@ -6,6 +6,7 @@ from frames import config, contacts, credits, order, orders, rows_by, visitor, v
 
 from catalogue.queries import comparable
 from splitmetrics import InputTables, Population, RawEvents, run
+from splitmetrics.plans.cohort import cohort_summary
 from splitmetrics.plans.summary import summary
 from splitmetrics.schema import RAW_CREDITS, RAW_ORDERS
 from splitmetrics.sources import results
@@ -143,3 +144,33 @@ def test_one_analysis_needs_few_jobs_before_its_action(spark, tmp_path):
 def test_orders_are_needed(spark):
     with pytest.raises(ValueError, match="orders are needed"):
         run(tables(spark, orders=None), config())
+
+
+def test_a_run_with_bucketed_visitors_has_the_same_results(spark):
+    settings = config(cohort_dimensions=("region",))
+    with run(tables(spark), settings) as plain, run(tables(spark), settings, buckets=3) as placed:
+        assert plain.frames.keys() == placed.frames.keys()
+        for name, frame in plain.frames.items():
+            rows = [comparable(f).collect() for f in (frame, placed.frames[name])]
+            assert sorted(map(str, rows[0])) == sorted(map(str, rows[1])), name
+
+
+def test_a_run_that_fails_leaves_nothing_behind(spark, monkeypatch):
+    from splitmetrics.plans import pipeline
+
+    made = []
+    workspace = pipeline.Workspace
+    monkeypatch.setattr(pipeline, "Workspace", lambda s: made.append(workspace(s)) or made[-1])
+    monkeypatch.setattr(pipeline, "summary", lambda population: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run(tables(spark), config(cohort_dimensions=("region",)), buckets=3)
+    assert made[0].tables and not os.path.exists(made[0].folder)
+    assert not any(spark.catalog.tableExists(name) for name in made[0].tables)
+
+
+def test_the_constraint_chooses_within_the_lattice(spark):
+    settings = config(cohort_dimensions=("is_new",), visitor_constraint="AND region = 'EU'")
+    with run(tables(spark), settings) as result:
+        alone = cohort_summary(Population(tables(spark).visitors, tables(spark).orders, settings))
+        assert sorted(map(str, result.frames["cohort"].collect())) == sorted(map(str, alone.collect()))
+        assert result.frames["cohort"].first()["c_count"] < 20

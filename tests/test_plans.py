@@ -188,3 +188,53 @@ def test_one_quantile_call_for_all_analyses_of_a_population(spark, monkeypatch):
     for analysis in (sweep.gm_sweep, sweep.gm_low_curve, sweep.booking_sweep, summary, cohort_summary):
         analysis(own).count()
     assert len(calls) == 1
+
+
+def test_cohorts_and_shares_need_no_visitors_beside_the_lattice(spark, tmp_path):
+    from splitmetrics.operators.lattice import count_lattice
+    from splitmetrics.sources.workspace import stage
+
+    sample_tables.visitors(spark, FOLDER).write.parquet(f"{tmp_path}/every_visitor")
+    people = spark.read.parquet(f"{tmp_path}/every_visitor")
+    dimensions = dict.fromkeys([*distribution.SHARE_DIMENSIONS, *CONFIG.cohort_dimensions])
+    lattice = stage(count_lattice(people, dimensions), "lattice")
+    own = Population(people, sample_tables.orders(spark, FOLDER), CONFIG, lattice_counts=lattice)
+    direct = Population(people, sample_tables.orders(spark, FOLDER), CONFIG)
+    for through, alone in (
+        (cohort_arms(own), cohort_arms(direct)),
+        (distribution.dimension_counts(people, lattice), distribution.dimension_counts(people)),
+    ):
+        reads = [any("every_visitor" in file for file in f.inputFiles()) for f in (through, alone)]
+        assert reads == [False, True]
+        assert sorted(map(str, through.collect())) == sorted(map(str, alone.collect()))
+
+
+def test_bucketed_visitors_meet_their_orders_without_a_shuffle(spark, eager_skew_handling):
+    from splitmetrics.sources.workspace import Workspace, stage_bucketed
+
+    work = Workspace(spark)
+    with work.active():
+        people = stage_bucketed(sample_tables.visitors(spark, FOLDER), "visitors", "visitor_id", 5)
+        profile = stage_bucketed(
+            rollups.order_profile(sample_tables.orders(spark, FOLDER)), "profile", "visitor_id", 5
+        )
+        joined = profile.join(people.where("is_hopper = 0"), "visitor_id")
+        rows = joined.count()
+        plan = plan_of(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and rows > 0
+        buckets = Population(people, sample_tables.orders(spark, FOLDER), CONFIG, buckets=5)
+        plain = Population(
+            sample_tables.visitors(spark, FOLDER), sample_tables.orders(spark, FOLDER), CONFIG
+        )
+        columns = sorted(plain.order_rows.columns)
+        found = [sorted(map(str, p.order_rows.select(*columns).collect())) for p in (buckets, plain)]
+        assert found[0] == found[1]
+    names = list(work.tables)
+    work.close()
+    assert len(names) == 3 and not any(spark.catalog.tableExists(name) for name in names)
+
+
+@pytest.mark.parametrize("name", ["contact_rate", "contact_rate_from_raw"])
+def test_contact_rates_expand_no_rows(spark, name):
+    plan = plan_of(registry.queries()[name](spark, FOLDER))
+    assert "Expand" not in plan
