@@ -1,0 +1,41 @@
+"""A row that is repeated for a third of its table does not make one task of the joins that bring results to rows."""
+
+import pytest
+from tables import documents, words
+
+from splitmetrics.llm import line_dedup, suffix_dedup
+
+
+@pytest.fixture
+def eager_skew_handling(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("drop", [line_dedup.drop_repeated_lines, suffix_dedup.drop_repeated_passages])
+def test_a_repeated_row_is_split(spark, eager_skew_handling, tmp_path, drop):
+    shared = " ".join(words(1, 60))
+    texts = [(k, f"{' '.join(words(k + 9, 20))}\n{shared if k < 3 else 'end'}") for k in range(400)]
+    # Longer than what shuffle files are compressed by, or the copies would take no bytes.
+    texts[2] = (2, f"{texts[2][1]}\n{' '.join(words(3, 6000))}")
+    rows = texts + [texts[2]] * 200
+    documents(spark, rows, partitions=8).write.parquet(f"{tmp_path}/documents")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    found = drop(docs).select("row.doc_id", "cleaned")
+    cleaned = {}
+    for row in found.collect():
+        cleaned.setdefault(row["doc_id"], []).append(row["cleaned"])
+    assert len(cleaned) == 400 and len(cleaned[2]) == 201 and len(set(cleaned[2])) == 1
+    assert shared in cleaned[0][0] and shared not in cleaned[1][0] and shared not in cleaned[2][0]
+    assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().executedPlan().toString()
